@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import pii as _pii
+from . import quality as _quality
 from . import token_counts as _token_counts
 
 
@@ -13,11 +15,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_neighbours": op2_quality_neighbours,
+    "op3_pii_offsets": op3_pii_offsets,
     "op10_token_counts": op10_token_counts,
 }
 
