@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import licenses as _licenses
+from . import mixing as _mixing
 from . import pii as _pii
 from . import quality as _quality
 from . import token_counts as _token_counts
@@ -23,6 +25,14 @@ def op3_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -30,6 +40,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_neighbours": op2_quality_neighbours,
     "op3_pii_offsets": op3_pii_offsets,
+    "op6_source_mix": op6_source_mix,
+    "op8_license_scan": op8_license_scan,
     "op10_token_counts": op10_token_counts,
 }
 
