@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import fingerprints as _fingerprints
 from . import licenses as _licenses
 from . import mixing as _mixing
 from . import pii as _pii
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fingerprints.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -38,6 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_quality_neighbours": op2_quality_neighbours,
     "op3_pii_offsets": op3_pii_offsets,
     "op6_source_mix": op6_source_mix,
