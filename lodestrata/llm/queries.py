@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import fingerprints as _fingerprints
 from . import licenses as _licenses
 from . import mixing as _mixing
+from . import packing as _packing
 from . import pii as _pii
 from . import quality as _quality
 from . import token_counts as _token_counts
@@ -38,6 +39,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii_offsets": op3_pii_offsets,
     "op6_source_mix": op6_source_mix,
     "op8_license_scan": op8_license_scan,
+    "op9_retrieval_packing": op9_retrieval_packing,
     "op10_token_counts": op10_token_counts,
 }
 
