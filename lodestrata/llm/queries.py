@@ -12,6 +12,7 @@ from . import mixing as _mixing
 from . import packing as _packing
 from . import pii as _pii
 from . import quality as _quality
+from . import substring as _substring
 from . import token_counts as _token_counts
 
 
@@ -35,6 +36,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_neighbours": op2_quality_neighbours,
     "op3_pii_offsets": op3_pii_offsets,
     "op6_source_mix": op6_source_mix,
+    "op7_repeated_windows": op7_repeated_windows,
     "op8_license_scan": op8_license_scan,
     "op9_retrieval_packing": op9_retrieval_packing,
     "op10_token_counts": op10_token_counts,
