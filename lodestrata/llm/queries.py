@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import fingerprints as _fingerprints
+from . import jaccard as _jaccard
 from . import licenses as _licenses
 from . import mixing as _mixing
 from . import packing as _packing
@@ -32,6 +33,10 @@ def op3_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_quality_neighbours": op2_quality_neighbours,
     "op3_pii_offsets": op3_pii_offsets,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_source_mix": op6_source_mix,
     "op7_repeated_windows": op7_repeated_windows,
     "op8_license_scan": op8_license_scan,
