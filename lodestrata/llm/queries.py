@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import ann as _ann
 from . import fingerprints as _fingerprints
 from . import jaccard as _jaccard
 from . import licenses as _licenses
@@ -33,6 +34,10 @@ def op3_pii_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.find_pii(_table(spark, sf_dir, "documents"))
 
 
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weighted_fingerprints": op1_weighted_fingerprints,
     "op2_quality_neighbours": op2_quality_neighbours,
     "op3_pii_offsets": op3_pii_offsets,
+    "op4_cross_polytope": op4_cross_polytope,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_source_mix": op6_source_mix,
     "op7_repeated_windows": op7_repeated_windows,
