@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import math
 from collections import Counter, defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,6 +105,10 @@ def _best_run(sorted_values: Column) -> Column:
     return F.aggregate(sorted_values, start, step, lambda acc: acc["best"])
 
 
+def _is_entry(i: int) -> Callable[[Column], Column]:
+    return lambda hit: hit["t"] == i
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] | None = None, templates: dict[str, tuple[str, list[str]]] | None = None) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -138,7 +143,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = []
     for i, e in enumerate(entries):
         if not e["base"]:
-            at = F.array_sort(F.transform(F.filter("_hits", lambda h, i=i: h["t"] == i), lambda h: h["at"]))
+            at = F.array_sort(F.transform(F.filter("_hits", _is_entry(i)), lambda h: h["at"]))
             share = F.when(F.size("_hits") > 0, _best_run(at) / F.lit(float(e["n"]))).otherwise(0.0)
             keys = F.lit(True)
             for k in e["keys"]:
