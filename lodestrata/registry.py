@@ -5,6 +5,284 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import html, names, privacy, text
+from .operators import fingerprint, fold, incremental, search, shingles, stats, threads
+from .plans.adapters import ORDER_MESSAGES, conversation_messages, order_messages, table
+from .sources import sinks
+from .streaming import sessions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+_MONTH_NO = "CASE strftime({0}, '%B') " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(text.MONTHS)) + " END"
+_CHAINS = f"""m AS ({ORDER_MESSAGES}),
+    s AS (SELECT *, CASE WHEN day - lag(day) OVER w > 90 OR lag(day) OVER w IS NULL THEN id END AS head FROM m WINDOW w AS (PARTITION BY lower(trim(subject)) ORDER BY day, id)),
+    ch AS (SELECT id, msgid, in_reply_to, date_iso, last_value(head IGNORE NULLS) OVER (PARTITION BY lower(trim(subject)) ORDER BY day, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chain FROM s)"""
+_COMPONENTS = f"""{_CHAINS},
+    ed AS (SELECT DISTINCT a.chain AS x, b.chain AS y FROM ch a JOIN ch b ON a.in_reply_to = b.msgid WHERE a.chain <> b.chain),
+    bo AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed),
+    reach(node, r) AS (SELECT x, x FROM bo UNION SELECT bo.y, reach.r FROM reach JOIN bo ON bo.x = reach.node),
+    lab AS (SELECT node, min(r) AS root FROM reach GROUP BY node),
+    roots AS (SELECT c.id, c.msgid, c.date_iso, coalesce(l.root, c.chain) AS root FROM ch c LEFT JOIN lab l ON l.node = c.chain),
+    comp AS (SELECT id, msgid, date_iso, min(id) OVER (PARTITION BY root) AS component FROM roots)"""
+
+
+# --- aggregates and choices
+@query(f"SELECT strftime(o_orderdate, '%Y-%B') AS month, CAST(any_value(year(o_orderdate) * 100 + {_MONTH_NO.format('o_orderdate')}) AS BIGINT) AS month_no, count(*) AS n FROM orders GROUP BY 1")
+def messages_per_month(spark, d):
+    return stats.per_month(table(spark, d, "orders"), F.col("o_orderdate"))
+
+
+@query("SELECT year(o_orderdate) AS year, month(o_orderdate) AS month_no, count(*) AS n FROM orders GROUP BY 1, 2 UNION ALL SELECT year(o_orderdate), NULL, count(*) FROM orders GROUP BY 1")
+def messages_per_year(spark, d):
+    return stats.per_year(table(spark, d, "orders"), F.col("o_orderdate"))
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%B') AS month, count(DISTINCT o_custkey) AS parents FROM orders GROUP BY 1")
+def distinct_parents_per_month(spark, d):
+    return stats.distinct_parents_per_month(table(spark, d, "orders"), F.col("o_orderdate"), "o_custkey")
+
+
+@query("SELECT l_orderkey, count(*) AS n_children FROM lineitem GROUP BY 1")
+def children_per_parent(spark, d):
+    return stats.children_per_parent(table(spark, d, "lineitem"), "l_orderkey")
+
+
+@query("SELECT c_name, n, row_number() OVER (ORDER BY n DESC, c_name) AS rank FROM (SELECT c_name, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1) ORDER BY n DESC, c_name LIMIT 15")
+def top_participants(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return stats.top_participants(rows, "c_name")
+
+
+@query("WITH c AS (SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY 1) SELECT year, n, CAST(round_even(100 * n / (SELECT max(n) FROM c), 0) AS BIGINT) AS percent FROM c")
+def relative_activity(spark, d):
+    counts = table(spark, d, "orders").groupBy(F.year("o_orderdate").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    return stats.relative_to_peak(counts)
+
+
+@query("SELECT o_custkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, f) AS r FROM (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS f FROM orders GROUP BY 1, 2)) WHERE r = 1")
+def dominant_value(spark, d):
+    return stats.most_used(table(spark, d, "orders"), "o_custkey", "o_orderpriority", "o_orderkey")
+
+
+@query("SELECT count(*) AS n, coalesce(CAST(sum(n_chars) AS BIGINT), 0) AS bytes FROM documents")
+def attachment_totals(spark, d):
+    return stats.attachment_totals(table(spark, d, "documents").withColumnRenamed("n_chars", "size"))
+
+
+# --- scalar functions
+@query("SELECT c_custkey, regexp_extract(c_name, '#(.*)$', 1) || ' Customer' AS clean FROM customer")
+def clean_names(spark, d):
+    last_first = F.concat(F.lit("CUSTOMER, "), F.regexp_extract("c_name", "#(.*)$", 1))
+    return table(spark, d, "customer").select("c_custkey", names.clean_name(last_first).alias("clean"))
+
+
+@query("SELECT o_orderkey, substr(sha1('o' || o_orderkey), 1, 12) AS tid, substr(sha1('o' || o_orderkey), 1, 16) AS mid FROM orders")
+def stable_ids(spark, d):
+    m = F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", text.stable_id(m, 12).alias("tid"), text.message_name(m, F.col("o_orderkey")).alias("mid"))
+
+
+@query("SELECT p_partkey, p_name AS subject FROM part")
+def subject_normalise(spark, d):
+    noisy = F.concat(F.lit("[List] Re: AW[2]:  Fwd: "), F.col("p_name"), F.lit("  [SOLVED] "))
+    return table(spark, d, "part").select("p_partkey", text.normalize_subject(noisy).alias("subject"))
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, CAST(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) = '')) AS BIGINT) AS n_blank FROM documents")
+def body_lines(spark, d):
+    lines = F.split(text.scrub_control(F.col("text")), "\n", -1)
+    return table(spark, d, "documents").select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(F.filter(lines, lambda x: F.trim(text.dequote(x)) == "")).cast("long").alias("n_blank"))
+
+
+@query("SELECT page_id, CASE WHEN length(url) > 40 THEN substr(url, 1, 39) || '…' ELSE url END AS short, CASE WHEN length(html) < 1024 THEN length(html) || ' B' ELSE NULL END AS size FROM pages WHERE length(html) < 1024 UNION ALL SELECT page_id, CASE WHEN length(url) > 40 THEN substr(url, 1, 39) || '…' ELSE url END, printf('%.1f KB', length(html) / 1024) FROM pages WHERE length(html) >= 1024")
+def page_labels(spark, d):
+    return table(spark, d, "pages").select("page_id", text.ellipsis(F.col("url"), 40).alias("short"), text.human_size(F.length("html").cast("long")).alias("size"))
+
+
+# --- dedup, joins of incremental work
+@query("SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2")
+def dedup_first_wins(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type", "user_id").withColumn("k", F.concat_ws("|", "event_type", F.col("user_id").cast("string")))
+    return incremental.first_wins(e, "k", ["event_id"]).select("event_type", "user_id", "event_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber > 4)")
+def antijoin_new_rows(spark, d):
+    known = table(spark, d, "lineitem").where("l_linenumber > 4").select(F.col("l_orderkey").alias("o_orderkey"))
+    return incremental.not_in(table(spark, d, "orders").select("o_orderkey"), known, "o_orderkey")
+
+
+@query("SELECT count(*) AS n FROM orders")
+def vault_restore(spark, d):
+    o = table(spark, d, "orders")
+    build, vault = o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 > 0 or o_orderkey % 2 = 1")
+    return incremental.vault_restore(build, vault, "o_orderkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'gone' WHEN o_orderkey % 11 = 0 THEN 'new' WHEN o_orderkey % 5 = 0 THEN 'changed' ELSE 'unchanged' END AS status FROM orders")
+def manifest_diff(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.sha1("o_orderstatus").alias("sig"))
+    old = o.where("k % 7 = 0 or k % 11 <> 0")
+    new = o.where("k % 7 <> 0").withColumn("sig", F.when(F.col("k") % 5 == 0, F.lit("x")).otherwise(F.col("sig")))
+    return incremental.manifest_diff(old, new, "k", "sig")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def orphan_rows(spark, d):
+    return incremental.orphans(table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
+@query("""WITH b AS (SELECT user_id, min(event_id) FILTER (event_type = 'error') AS bad FROM events GROUP BY 1)
+    SELECT e.user_id, count(*) AS seen, count(*) FILTER (event_type <> 'error') AS added, coalesce(max(event_id) FILTER (bad IS NULL OR event_id < bad), -1) AS checkpoint FROM events e JOIN b USING (user_id) GROUP BY 1""")
+def contiguous_checkpoint(spark, d):
+    e = table(spark, d, "events").withColumn("ok", F.col("event_type") != "error")
+    return incremental.contiguous_checkpoint(e, "user_id", "event_id", "ok", -1).withColumn("checkpoint", F.col("checkpoint").cast("long"))
+
+
+@query("SELECT CAST(ceil(rn / 450) AS BIGINT) AS part, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY page_id) AS rn FROM pages) GROUP BY 1")
+def sitemap_parts(spark, d):
+    return sinks.sitemap_parts(table(spark, d, "pages").select(F.col("page_id").alias("pos"), F.col("url").alias("path")), size=450)
+
+
+# --- threads
+@query(f"WITH {_CHAINS} SELECT id, chain FROM ch")
+def subject_chains(spark, d):
+    return threads.subject_chains(order_messages(spark, d))
+
+
+@query(f"WITH RECURSIVE {_COMPONENTS} SELECT id, component FROM comp")
+def thread_components(spark, d):
+    return threads.thread_components(order_messages(spark, d))
+
+
+@query(f"""WITH RECURSIVE {_COMPONENTS}
+    SELECT component, substr(sha1(arg_min(msgid, (date_iso, id))), 1, 12) AS tid, count(*) AS messages, arg_min(id, (date_iso, id)) AS head_id, min(date_iso) AS first_date, max(date_iso) AS last_date FROM comp GROUP BY 1""")
+def thread_list(spark, d):
+    return threads.thread_list(order_messages(spark, d))
+
+
+@query("SELECT 'c' || conv_id || '.t' || turn AS msgid, substr(sha1('c' || conv_id || '.t' || min(turn) OVER (PARTITION BY conv_id)), 1, 12) AS tid FROM conversations")
+def thread_ids(spark, d):
+    return threads.thread_ids(conversation_messages(spark, d))
+
+
+# --- shingles, search, folding
+_WORDS = "string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')"
+_DEDUP = f"""w AS (SELECT doc_id, unnest({_WORDS}) AS word, generate_subscripts({_WORDS}, 1) AS pos FROM documents),
+    s AS (SELECT *, CASE WHEN count(*) OVER f = 8 THEN string_agg(lower(word), ' ') OVER f END AS sh FROM w WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+    r AS (SELECT doc_id, pos, word, CAST(sh IS NOT NULL AND row_number() OVER (PARTITION BY sh ORDER BY doc_id, pos) > 1 AS INT) AS dup FROM s),
+    k AS (SELECT doc_id, pos, word, max(dup) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS gone FROM r)"""
+
+
+@query(f"WITH {_DEDUP} SELECT doc_id, count(*) AS n_words, CAST(count(*) - sum(gone) AS BIGINT) AS kept_words FROM k GROUP BY 1")
+def shingle_dedup_counts(spark, d):
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    return shingles.first_occurrence_dedup(table(spark, d, "documents").where("text is not null"), words, ["doc_id"]).select("doc_id", "n_words", "kept_words")
+
+
+@query("SELECT conv_id * 1000 + turn AS id, row_number() OVER (ORDER BY conv_id * 1000 + turn DESC) AS rank FROM conversations WHERE contains(lower(coalesce(role, '') || ' ' || text), 'user') AND contains(lower(coalesce(role, '') || ' ' || text), 'the') ORDER BY conv_id * 1000 + turn DESC LIMIT 300")
+def search_hits(spark, d):
+    m = conversation_messages(spark, d)
+    index = m.select("id", F.lit("").alias("subject"), F.col("from_name").alias("author"), F.lit("").alias("sent"), F.col("body"), F.lit(0).alias("att_count"))
+    return search.search(index, "user the").select("id", "rank")
+
+
+@query()
+def search_index(spark, d):
+    m = conversation_messages(spark, d)
+    return search.build_index(m, threads.thread_components(m))
+
+
+def _source_threads(spark, d):
+    docs = table(spark, d, "documents")
+    return docs.select(F.col("source").alias("thread"), F.col("doc_id").alias("idx"), F.concat(F.lit("author "), F.col("lang")).alias("author"), F.col("text").alias("body"))
+
+
+@query("""WITH w AS (SELECT source AS thread, doc_id AS idx, unnest(string_split(lower(text), ' ')) AS word, generate_subscripts(string_split(lower(text), ' '), 1) - 1 AS pos FROM documents),
+    s AS (SELECT *, CASE WHEN count(*) OVER f = 6 THEN string_agg(word, ' ') OVER f END AS sh FROM w WINDOW f AS (PARTITION BY thread, idx ORDER BY pos ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+    l AS (SELECT *, CASE WHEN sh IS NOT NULL THEN max(idx) OVER (PARTITION BY thread, sh ORDER BY idx RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS src FROM s),
+    c AS (SELECT thread, idx, pos, first_value(src IGNORE NULLS) OVER (PARTITION BY thread, idx ORDER BY pos ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS latest FROM l)
+    SELECT thread, idx, latest, count(*) AS n FROM c WHERE latest IS NOT NULL GROUP BY 1, 2, 3""")
+def coverage_sources(spark, d):
+    docs = table(spark, d, "documents").select(F.col("source").alias("thread"), F.col("doc_id").alias("idx"), F.split(F.lower("text"), " ", -1).alias("w"))
+    rows = shingles.with_shingles(docs, F.col("w"), ["thread", "idx"], 6)
+    found = shingles.earlier_sayers(rows, "thread", "idx").where("latest is not null")
+    return found.groupBy("thread", "idx", "latest").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def fold_ranges(spark, d):
+    return fold.fold_ranges(_source_threads(spark, d))
+
+
+# --- privacy
+_ADDRESS = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
+
+
+@query(f"""WITH a AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_ADDRESS}')) AS a FROM documents)
+    SELECT doc_id, count(DISTINCT lower(a)) AS n_addresses, min('user-' || substr(sha256('pepper' || lower(a)), 1, 12) || '@masked.invalid') AS first_mask FROM a GROUP BY 1""")
+def mask_addresses(spark, d):
+    masked = table(spark, d, "documents").select("doc_id", privacy.mask_addresses(F.col("text"), "pepper").alias("t"))
+    found = masked.select("doc_id", F.explode(F.regexp_extract_all("t", F.lit(r"user-[0-9a-f]{12}@masked\.invalid"), F.lit(0))).alias("m"))
+    return found.groupBy("doc_id").agg(F.countDistinct("m").alias("n_addresses"), F.min("m").alias("first_mask"))
+
+
+@query("SELECT doc_id, regexp_extract_all(text, '\\+[0-9]{1,2} \\([0-9]{3}\\) [0-9]{3}-[0-9]{4}').len() AS n_phones FROM documents WHERE regexp_matches(text, '\\+[0-9]{1,2} \\([0-9]{3}\\) [0-9]{3}-[0-9]{4}')")
+def redact_phones(spark, d):
+    red = table(spark, d, "documents").select("doc_id", privacy.redact_contact(F.col("text")).alias("t"))
+    n = F.size(F.regexp_extract_all("t", F.lit(r"\+X{1,2} \(X{3}\) X{3}-X{4}"), F.lit(0))).cast("long")
+    return red.select("doc_id", n.alias("n_phones")).where("n_phones > 0")
+
+
+@query("SELECT 'text' AS \"column\", 0 AS doc_id, '' AS match, '' AS severity WHERE false")
+def leak_scan(spark, d):
+    masked = table(spark, d, "documents").select("doc_id", privacy.mask_addresses(F.col("text"), "pepper").alias("text"))
+    found = privacy.leak_scan(masked, "doc_id", ["text"]).where("severity = 'leak'")
+    return found.withColumn("doc_id", F.col("doc_id").cast("int"))
+
+
+# --- fingerprints
+_LIMB = ", ".join(f"sum(CAST(('0x' || substr(d, {57 - 8 * i}, 8)) AS HUGEINT)) AS l{i}" for i in range(8))
+_FIELD = "'53' || lpad(printf('%x', strlen({0})), 16, '0') || hex({0})"
+
+
+@query(f"""WITH f AS (SELECT sha256(unhex({' || '.join(_FIELD.format(f'CAST({c} AS VARCHAR)') for c in ('n_nationkey', 'n_name', 'n_regionkey'))})) AS d FROM nation), s AS (SELECT {_LIMB} FROM f),
+    t0 AS (SELECT *, l0 AS v0 FROM s), {', '.join(f't{i} AS (SELECT *, l{i} + v{i - 1} // 4294967296 AS v{i} FROM t{i - 1})' for i in range(1, 8))}
+    SELECT {' || '.join(f"lpad(printf('%x', CAST(v{i} % 4294967296 AS BIGINT)), 8, '0')" for i in range(7, -1, -1))} AS fingerprint FROM t7""")
+def content_fingerprint(spark, d):
+    return fingerprint.content_fingerprint(table(spark, d, "nation"), ["n_nationkey", "n_name", "n_regionkey"])
+
+
+@query()
+def thread_signatures(spark, d):
+    return fingerprint.ordered_signature(table(spark, d, "conversations"), "conv_id", ["turn"], ["role", "text"])
+
+
+# --- pages, sessions
+@query()
+def sanitize_html(spark, d):
+    return table(spark, d, "pages").select("page_id", html.sanitize_html(F.col("html")).alias("clean"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+    SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+def gap_sessions(spark, d):
+    out = sessions.gap_sessions(table(spark, d, "events"), "ts", "user_id", "6 hours", "1 day")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
