@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from ..session import materialize, partitions
+from ..session import discard, materialize, partitions
 from .keyset import collect_keys
 from .words import U, byte_chunks, hash_words, mix, shingles
 
 _SPARE = 1  # parts beyond the differences allowed: a set with that many empty parts needs no list of them
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
 _BLOCK = 256
+_NULL_ID = (1 << 63) - 1
 
 
 class Sizes:
@@ -251,45 +252,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     than ``width`` counts as one shingle. A null or empty text has no shingles and
     links with nothing: its component is its own id. Rows with equal sets are
     linked; repeated rows stay repeated. A null id is never a component's name
-    while another id is there.
+    while another id is there. Ids are integers.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     spark = docs.sparkSession
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, sigs = [], [], []
+            n, keys, sketches, sigs = [], [], [], []
             for s in _sets(batch, width):
                 n.append(len(s))
                 keys.append(_set_key(s) if len(s) else None)
+                sketches.append(odd_sketch(s).tobytes() if len(s) else None)
                 sigs.append(signatures(s, num, den).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "n", "key", "sigs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "n", "key", "sketch", "sigs"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    all_docs = materialize(rows.mapInArrow(describe, f"id {kind}, n long, key long, sigs array<long>"), "jaccard-docs")
+    all_docs = materialize(rows.mapInArrow(describe, "id long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
+    # Lists that hold two classes at least; a class's copies fall together before the shuffle.
     lists = all_docs.select(F.explode("sigs").alias("sig"), "key").groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).where("x < y")
     lists = materialize(lists.select("sig"), "jaccard-lists")
     hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
+    discard(lists)
 
-    def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sets, sketches and surviving signatures of the documents that some list may pair."""
+    def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(sig, key) of signatures that may be in such a list."""
         for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for ident, s in zip(ids, _sets(batch, width), strict=True):
-                g = signatures(s, num, den)
-                g = g[hot.value.may_hold(g)]
-                if len(g):
-                    out.append((_set_key(s), ident, len(s), s.tobytes(), odd_sketch(s).tobytes(), g.view(np.int64)))
-            if out:
-                key, ident, n, members, sketch, sigs = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(ident, batch.column(0).type), pa.array(n, pa.int64()), pa.array(members, pa.binary()), pa.array(sketch, pa.binary()), pa.array(list(sigs), pa.list_(pa.int64()))], names=["key", "id", "n", "members", "sketch", "sigs"])
-
-    wanted = materialize(rows.mapInArrow(collect_sets, f"key long, id {kind}, n long, members binary, sketch binary, sigs array<long>"), "jaccard-wanted")
-    # One row a class: that of its smallest id.
-    first = wanted.groupBy("key").agg(F.min("id").alias("id"))
-    classes = materialize(wanted.join(first, ["key", "id"]).dropDuplicates(["key"]), "jaccard-classes")
-
-    slim = classes.select(F.explode("sigs").alias("sig"), "key")
+            lengths = np.diff(batch.column(1).offsets.to_numpy())
+            sig = batch.column(1).flatten().to_numpy()
+            keep = hot.value.may_hold(sig.view(U))
+            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(np.repeat(batch.column(0).to_numpy(), lengths)[keep])], names=["sig", "key"])
+
+    slim = materialize(all_docs.where("key is not null").select("key", "sigs").mapInArrow(surviving, "sig long, key long").distinct(), "jaccard-postings")
     # Lists with the same members are scanned once.
     counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("key")).alias("h2")).where("size > 1")
     kept = materialize(counted.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "size"), "jaccard-kept")
@@ -299,10 +292,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     group = F.xxhash64("sig", F.least("block", "other"), F.greatest("block", "other"))
     members = materialize(members.select(group.alias("group"), (F.col("block") != F.col("other")).alias("two"), "block", "key"), "jaccard-members")
     # In a group of two blocks, rows of both carry the same flag: the pair's, not the row's.
-    facts = classes.select("key", "n", "sketch")
+    listed = members.select("key").distinct()
+    facts = all_docs.where("key is not null").groupBy("key").agg(F.min(F.coalesce("id", F.lit(_NULL_ID))).alias("rid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    facts = materialize(facts.join(listed, "key", "left_semi"), "jaccard-facts")
 
     pairs = materialize(_scan(members.join(facts, "key").withColumn("comp", F.col("key")).select("group", "two", "block", "key", "comp", "n", "sketch"), num, den, True), "jaccard-forest")
-    sets = classes.select("key", "n", "members")
+    # A spanning forest touches every class that has any pair to verify: their sets are enough for both rounds.
+    touched = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    touched = materialize(facts.select("key", "rid").join(touched, "key", "left_semi"), "jaccard-touched")
+    mixed = F.pandas_udf(lambda s: s.__class__(mix(s.to_numpy().astype(np.int64).view(U)).view(np.int64)), "long")
+    wanted = spark.sparkContext.broadcast(collect_keys(touched.select(mixed("rid").alias("h")), "h"))
+
+    def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(rid, key, members) of the documents that may stand for a class to verify."""
+        for batch in batches:
+            rid = np.array([_NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)
+            at = np.flatnonzero(wanted.value.may_hold(mix(rid.view(U))))
+            found = list(_sets(batch.take(pa.array(at)), width)) if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array(rid[at]), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rid", "key", "members"])
+
+    sets = rows.mapInArrow(read_sets, "rid long, key long, members binary").join(touched, ["rid", "key"])
+    sets = materialize(sets.groupBy("key").agg(F.first("members").alias("members")).withColumn("n", F.length("members") / F.lit(8)).withColumn("n", F.col("n").cast("long")), "jaccard-sets")
     tested = materialize(_verified(pairs, sets, num, den), "jaccard-tested")
     links = tested.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     labels = materialize(connected_components(links), "jaccard-labels")
