@@ -42,7 +42,7 @@ class _Cache(dict):
 class Encoder:
     """Ids and counts of whole texts, as the library of the file gives them."""
 
-    def __init__(self, name: str, cache_entries: int = 300_000):
+    def __init__(self, name: str, cache_entries: int = 200_000):
         import public_tokenizers
 
         self.path, self.fast = public_tokenizers.path(name), None
@@ -54,6 +54,16 @@ class Encoder:
             model = sentencepiece.SentencePieceProcessor(model_file=self.path)
             self.slow = lambda text: model.encode(text, num_threads=1)
             return
+        with open(self.path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
+            self.fast = self._ranked(spec)
+        if self.fast is not None:
+            self.__dict__.pop("slow", None)  # loaded again only when asked for: it would hold memory in every worker
+
+    def __getattr__(self, name: str):
+        if name != "slow":
+            raise AttributeError(name)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -61,10 +71,7 @@ class Encoder:
         library.no_truncation()
         library.no_padding()
         self.slow = lambda text: library.encode(text, add_special_tokens=False).ids
-        with open(self.path, encoding="utf-8") as f:
-            spec = json.load(f)
-        if spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
-            self.fast = self._ranked(spec)
+        return self.slow
 
     def _ranked(self, spec: dict):
         """An encoder over ranks for the same file, kept only if it agrees with the library."""
