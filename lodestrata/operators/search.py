@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse, dequote, message_name, short_date, snippets, strip_footer, strip_scrub_notes
+from ..functions.text import collapse, dequote, message_name, short_date, snippets, stable_id, strip_footer, strip_scrub_notes
 from .shingles import first_occurrence_dedup
+from .threads import chronological
 
 
 def flat_words(body: Column, list_names: tuple[str, ...] = ("list",)) -> Column:
@@ -18,7 +19,7 @@ def flat_words(body: Column, list_names: tuple[str, ...] = ("list",)) -> Column:
 
 
 def build_index(messages: DataFrame, threads: DataFrame, attachments: DataFrame | None = None, author: Column | None = None, list_names: tuple[str, ...] = ("list",)) -> DataFrame:
-    """mid, subject, author, sent, att_count, thread, body (its first occurrences only), id.
+    """id, mid, subject, author, sent, att_count, thread, tid, body (its first occurrences only).
 
     ``threads``: (id, component). Messages are in order of date, undated last, then id.
     """
@@ -27,9 +28,12 @@ def build_index(messages: DataFrame, threads: DataFrame, attachments: DataFrame
         rows = rows.join(attachments.groupBy("msgid").agg(F.count(F.lit(1)).alias("_att")), "msgid", "left")
     else:
         rows = rows.withColumn("_att", F.lit(0).cast("long"))
+    anchors = rows.groupBy("component").agg(F.min_by(F.struct("msgid", "id"), chronological()).alias("_a"))
+    named = F.when(F.coalesce("_a.msgid", F.lit("")) != "", stable_id(F.col("_a.msgid"))).otherwise(F.concat(F.lit("x"), F.col("_a.id").cast("string")))
+    rows = rows.join(anchors.select("component", named.alias("tid")), "component")
     keyed = rows.select(F.col("date_iso").isNull().alias("undated"), F.coalesce("date_iso", F.lit("")).alias("date"), "id", flat_words(F.col("body"), list_names).alias("_words"))
     bodies = first_occurrence_dedup(keyed, F.col("_words"), ["undated", "date", "id"]).select("id", F.col("kept").alias("body"))
-    facts = rows.select("id", message_name(F.col("msgid"), F.col("id")).alias("mid"), F.coalesce("subject", F.lit("")).alias("subject"), (F.col("from_name") if author is None else author).alias("author"), short_date(F.col("date_iso"), F.lit("")).alias("sent"), F.coalesce("_att", F.lit(0)).alias("att_count"), F.col("component").alias("thread"))
+    facts = rows.select("id", message_name(F.col("msgid"), F.col("id")).alias("mid"), F.coalesce("subject", F.lit("")).alias("subject"), (F.col("from_name") if author is None else author).alias("author"), short_date(F.col("date_iso"), F.lit("")).alias("sent"), F.coalesce("_att", F.lit(0)).alias("att_count"), F.col("component").alias("thread"), "tid")
     return facts.join(bodies, "id")
 
 
