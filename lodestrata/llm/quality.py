@@ -124,8 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a in at], pa.binary()), pa.array([r[a].tobytes() for r, a in zip(rows, at, strict=True)], pa.binary()), batch.column(1).cast(pa.int32()), batch.column(2)], names=["at", "value", "y", "k"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, text_col).join(F.broadcast(sample), id_col).select(text_col, "_y", id_col).mapInArrow(featurise, f"at binary, value binary, y int, k {kind}").collect()
-    rows.sort(key=lambda r: (r.k, r.at, r.value))
+    found = docs.select(id_col, text_col).join(F.broadcast(sample), id_col).select(text_col, "_y", id_col).mapInArrow(featurise, f"at binary, value binary, y int, k {kind}")
+    # Of rows that share an id one is learnt from, so the driver gets max_labelled rows at most.
+    rows = found.groupBy("k").agg(F.min(F.struct("at", "value", "y")).alias("r")).select("k", "r.*").collect()
+    rows.sort(key=lambda r: r.k)
     x, y = np.zeros((len(rows), WIDTH), np.float32), np.array([1 if r.y > 0 else 0 for r in rows])
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.value, np.float32)
