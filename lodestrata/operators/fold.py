@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_word, norm_words, scrub_control
+from ..session import materialize
 from .shingles import earlier_sayers
 
 SHINGLE, LINE_WORDS, COVERED_WORDS, VISIBLE_WORDS, SIGNATURE_LINES = 6, 4, 12, 3, 8
@@ -57,7 +58,8 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     words = messages.select(*keys, F.flatten(F.transform(F.split(scrub_control(F.coalesce(body, F.lit(""))), "\n", -1), lambda t, i: F.transform(norm_words(t), lambda w: F.struct(w.alias("word"), i.alias("line"))))).alias("_w"))
     runs = F.transform("_w", lambda w, i: F.struct(w["word"].alias("word"), w["line"].alias("line"), F.when(i <= F.size("_w") - SHINGLE, F.array_join(F.transform(F.slice("_w", i + 1, SHINGLE), lambda x: x["word"]), " ")).alias("shingle")))
     rows = words.select(*keys, F.posexplode(runs).alias("pos", "_r")).select(*keys, "pos", "_r.word", "_r.shingle", "_r.line")
-    covered = earlier_sayers(rows, thread, message, SHINGLE)
+    # Three results are read several times each; written once, they cut the plan into short ones.
+    covered = materialize(earlier_sayers(rows, thread, message, SHINGLE), "fold-covered")
     per_line = covered.groupBy(*keys, "line").agg(F.count(F.lit(1)).alias("nw"), F.count("latest").alias("nc"))
 
     lines = texts.join(per_line, [*keys, "line"], "left").fillna(0, ["nw", "nc"])
@@ -76,7 +78,7 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     lines = lines.withColumn("attrib", F.col("text").rlike(ATTRIBUTION) | (F.col("text").rlike(TAIL) & (word_count <= 16)) | (F.col("header") & F.col("field").isin(*_FROM_FIELDS)))
     lines = lines.withColumn("run", F.sum((~F.col("safe")).cast("int")).over(in_order))
     last_text = F.max(F.when(~F.col("blank"), F.col("line"))).over(Window.partitionBy(*keys))
-    lines = lines.withColumn("_last", last_text)
+    lines = materialize(lines.withColumn("_last", last_text), "fold-lines")
 
     safe = lines.where("safe")
     plans = safe.groupBy(*keys, "run").agg(
@@ -102,6 +104,7 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     plans = plans.join(head, [*keys, "run"]).join(mine, [*keys, "run"], "left")
     sig = F.coalesce(F.col("head_prose"), F.lit(False)) & (F.col("head_cov") >= COVERED_WORDS) & (F.col("covered") - F.col("head_cov") >= COVERED_WORDS) & (F.col("head_lines") <= SIGNATURE_LINES) & F.coalesce("all_own", F.lit(True)) & F.coalesce("body_prose", F.lit(False))
     plans = plans.withColumn("sig", F.coalesce(sig, F.lit(False))).withColumn("may_name", F.coalesce("sig", F.lit(False)) | ~F.coalesce("head_prose", F.lit(False)))
+    plans = materialize(plans, "fold-plans")
 
     # An attribution that names exactly one earlier author; the latest message of that name is meant.
     spoken = lines.select(*keys, F.col("line").alias("att"), F.concat(F.lit(" "), F.array_join(norm_words(F.col("text")), " "), F.lit(" ")).alias("_hay"))
