@@ -182,6 +182,13 @@ def thread_ids(spark, d):
     return threads.thread_ids(conversation_messages(spark, d))
 
 
+@query(f"WITH RECURSIVE {_COMPONENTS} SELECT component, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS members FROM comp GROUP BY 1")
+def component_members(spark, d):
+    found = threads.thread_components(order_messages(spark, d))
+    ids = F.transform(F.array_sort(F.collect_list("id")), lambda i: i.cast("string"))
+    return found.groupBy("component").agg(F.array_join(ids, ",").alias("members"))
+
+
 # --- shingles, search, folding
 _WORDS = "string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')"
 _DEDUP = f"""w AS (SELECT doc_id, unnest({_WORDS}) AS word, generate_subscripts({_WORDS}, 1) AS pos FROM documents),
@@ -274,6 +281,33 @@ def thread_signatures(spark, d):
     return fingerprint.ordered_signature(table(spark, d, "conversations"), "conv_id", ["turn"], ["role", "text"])
 
 
+# --- attachments, names
+@query("""WITH p AS (SELECT page_id, lower(regexp_extract(regexp_replace(url, '^.*/', ''), '\\.([^.]*)$', 1)) AS ext, length(html) AS size FROM pages)
+    SELECT page_id, ext, CAST(page_id % 3 < 2 AND (page_id % 3 = 1 OR (size <= 1500 AND (page_id % 2 = 1 OR size >= 600))) AS INT) AS keep FROM p""")
+def attachment_policy(spark, d):
+    p = table(spark, d, "pages").withColumn("ext", text.extension(F.col("url"))).withColumn("size", F.length("html"))
+    kind = F.element_at(F.array(F.lit("png"), F.lit("patch"), F.lit("html")), (F.col("page_id") % 3 + 1).cast("int"))
+    keep = text.keep_attachment(kind, F.lit(None).cast("string"), F.col("size"), F.col("page_id") % 2 == 0, ("png", "patch"), (), 1500, 600)
+    return p.select("page_id", "ext", keep.cast("int").alias("keep"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'Nation ' || c_nationkey ELSE 'Segment ' || lower(c_mktsegment) END AS shown FROM customer")
+def display_names(spark, d):
+    c = table(spark, d, "customer")
+    own = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("segment "), F.lower("c_mktsegment")))
+    named = c.withColumn("own", own).withColumn("mail", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    known = stats.backfill_names(table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("mail"), F.concat(F.lit("nation "), F.col("n_nationkey").cast("string")).alias("known"), F.col("n_nationkey").alias("seq")), "mail", "known", "seq")
+    shown = names.display_name(F.col("own"), F.col("known"), F.col("mail"))
+    return named.join(known, "mail", "left").select("c_custkey", F.when(F.col("own").isNull(), shown).otherwise(F.concat(F.lit("Segment "), F.lower("c_mktsegment"))).alias("shown"))
+
+
+@query("SELECT o_orderstatus AS source, count(*) AS n FROM orders WHERE NOT (o_orderstatus = 'F' AND year(o_orderdate) = 1997) GROUP BY 1 UNION ALL SELECT 'new' AS source, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997 AND o_orderkey % 2 = 0")
+def refreshed_partition(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("msgid"), F.year("o_orderdate").cast("string").alias("month"), F.col("o_orderstatus").alias("source"))
+    new = o.where("source = 'F' and month = '1997' and cast(msgid as long) % 2 = 0").withColumn("source", F.lit("new"))
+    return incremental.refresh_partition(o, new, "1997", "F").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- pages, sessions
 @query()
 def sanitize_html(spark, d):
