@@ -110,7 +110,7 @@ def changed_rows(before: DataFrame, after: DataFrame, key: str, columns: list[st
     return after.join(b, key).where(~same).select(after.columns)
 
 
-def numbered_parts(rows: DataFrame, order: list[str], size: int) -> DataFrame:
+def numbered_parts(rows: DataFrame, order: list[str] | list[Column], size: int) -> DataFrame:
     """``rows`` with ``part`` from 1, ``size`` rows a part in order.
 
     Ranks come from counts of sorted partitions, not from one window over all rows.

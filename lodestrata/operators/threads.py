@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import stable_id, subject_key
 from .graph import connected_components
+from .incremental import numbered_parts
 
 
 def chronological(date_col: str = "date_iso", id_col: str = "id") -> Column:
@@ -65,8 +66,8 @@ def thread_ids(messages: DataFrame, prior: DataFrame | None = None, days: int =
     return rows.where("msgid is not null and msgid <> ''").join(named, "component").select("msgid", "tid").distinct()
 
 
-def thread_list(messages: DataFrame, days: int = 90, page: int = 50) -> DataFrame:
-    """component, tid, messages, head_id, first_date, last_date, position and page; newest first."""
+def thread_list(messages: DataFrame, days: int = 90) -> DataFrame:
+    """component, tid, messages, head_id, first_date, last_date; one row a thread."""
     rows = messages.join(thread_components(messages, days), "id")
     threads = rows.groupBy("component").agg(
         F.count(F.lit(1)).alias("messages"),
@@ -76,3 +77,8 @@ def thread_list(messages: DataFrame, days: int = 90, page: int = 50) -> DataFram
     )
     ident = F.when(F.coalesce("_head.msgid", F.lit("")) != "", stable_id(F.col("_head.msgid"))).otherwise(F.concat(F.lit("x"), F.col("_head.id").cast("string")))
     return threads.select("component", ident.alias("tid"), "messages", F.col("_head.id").alias("head_id"), "first_date", "last_date")
+
+
+def thread_pages(threads: DataFrame, page: int = 50) -> DataFrame:
+    """Rows of :func:`thread_list` with ``part``, the page that shows them: newest first, undated last, then by component."""
+    return numbered_parts(threads, [F.desc_nulls_last("last_date"), F.col("component")], page)

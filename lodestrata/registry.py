@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import html, names, privacy, text
-from .operators import fingerprint, fold, incremental, search, shingles, stats, threads
+from .operators import attachments, fingerprint, fold, incremental, obfuscation, search, shingles, stats, threads
 from .plans.adapters import ORDER_MESSAGES, conversation_messages, order_messages, table
-from .sources import sinks
+from .sources import discussions, sinks
 from .streaming import sessions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,18 +128,21 @@ def antijoin_new_rows(spark, d):
     return incremental.not_in(table(spark, d, "orders").select("o_orderkey"), known, "o_orderkey")
 
 
-@query("SELECT count(*) AS n FROM orders")
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
 def vault_restore(spark, d):
-    o = table(spark, d, "orders")
-    build, vault = o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 > 0 or o_orderkey % 2 = 1")
-    return incremental.vault_restore(build, vault, "o_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    """The build lacks the orders before 1998, the vault those of the last status."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    build, vault = o.where("o_orderdate >= '1998-01-01'"), o.where("o_orderdate < '1998-01-01' or o_orderstatus <> 'P'")
+    return incremental.vault_restore(build, vault, "o_orderkey").select("o_orderkey", "o_orderstatus")
 
 
-@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'gone' WHEN o_orderkey % 11 = 0 THEN 'new' WHEN o_orderkey % 5 = 0 THEN 'changed' ELSE 'unchanged' END AS status FROM orders")
+@query("""SELECT o_orderkey AS k, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'gone' WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'new'
+    WHEN o_orderstatus = 'F' THEN 'changed' ELSE 'unchanged' END AS status FROM orders""")
 def manifest_diff(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.sha1("o_orderstatus").alias("sig"))
-    old = o.where("k % 7 = 0 or k % 11 <> 0")
-    new = o.where("k % 7 <> 0").withColumn("sig", F.when(F.col("k") % 5 == 0, F.lit("x")).otherwise(F.col("sig")))
+    """The old manifest ends before 2000; the new one begins in 1996 and has new signatures of one status."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.sha1("o_orderpriority").alias("sig"), "o_orderdate", "o_orderstatus")
+    old = o.where("o_orderdate < '2000-01-01'")
+    new = o.where("o_orderdate >= '1996-01-01'").withColumn("sig", F.when(F.col("o_orderstatus") == "F", F.sha1("sig")).otherwise(F.col("sig")))
     return incremental.manifest_diff(old, new, "k", "sig")
 
 
@@ -177,6 +180,12 @@ def thread_list(spark, d):
     return threads.thread_list(order_messages(spark, d))
 
 
+@query(f"""WITH RECURSIVE {_COMPONENTS}, t AS (SELECT component, max(date_iso) AS last_date FROM comp GROUP BY 1)
+    SELECT component, CAST(ceil(row_number() OVER (ORDER BY last_date DESC, component) / 50) AS BIGINT) AS part FROM t""")
+def thread_pages(spark, d):
+    return threads.thread_pages(threads.thread_list(order_messages(spark, d))).select("component", "part")
+
+
 @query("SELECT 'c' || conv_id || '.t' || turn AS msgid, substr(sha1('c' || conv_id || '.t' || min(turn) OVER (PARTITION BY conv_id)), 1, 12) AS tid FROM conversations")
 def thread_ids(spark, d):
     return threads.thread_ids(conversation_messages(spark, d))
@@ -301,10 +310,10 @@ def display_names(spark, d):
     return named.join(known, "mail", "left").select("c_custkey", F.when(F.col("own").isNull(), shown).otherwise(F.concat(F.lit("Segment "), F.lower("c_mktsegment"))).alias("shown"))
 
 
-@query("SELECT o_orderstatus AS source, count(*) AS n FROM orders WHERE NOT (o_orderstatus = 'F' AND year(o_orderdate) = 1997) GROUP BY 1 UNION ALL SELECT 'new' AS source, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997 AND o_orderkey % 2 = 0")
+@query("SELECT o_orderstatus AS source, count(*) AS n FROM orders WHERE NOT (o_orderstatus = 'F' AND year(o_orderdate) = 1997) GROUP BY 1 UNION ALL SELECT 'new' AS source, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997 AND o_totalprice > 100000")
 def refreshed_partition(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("msgid"), F.year("o_orderdate").cast("string").alias("month"), F.col("o_orderstatus").alias("source"))
-    new = o.where("source = 'F' and month = '1997' and cast(msgid as long) % 2 = 0").withColumn("source", F.lit("new"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("msgid"), F.year("o_orderdate").cast("string").alias("month"), F.col("o_orderstatus").alias("source"), "o_totalprice")
+    new = o.where("source = 'F' and month = '1997' and o_totalprice > 100000").withColumn("source", F.lit("new"))
     return incremental.refresh_partition(o, new, "1997", "F").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -320,3 +329,176 @@ def sanitize_html(spark, d):
 def gap_sessions(spark, d):
     out = sessions.gap_sessions(table(spark, d, "events"), "ts", "user_id", "6 hours", "1 day")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+# --- names, texts and addresses, one operator a query
+@query("SELECT o_orderkey AS id, lower('Customer ' || o_custkey) AS key, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS shown FROM orders")
+def subject_keys(spark, d):
+    m = order_messages(spark, d)
+    shown = text.short_date(F.col("date_iso"), F.lit(""))
+    return m.select("id", text.subject_key(F.initcap(F.concat(F.lit(" "), "subject"))).alias("key"), shown.alias("shown"))
+
+
+@query("SELECT a.id AS src, b.id AS dst FROM ({0}) a JOIN ({0}) b ON a.in_reply_to = b.msgid".format(ORDER_MESSAGES))
+def reply_links(spark, d):
+    return threads.reply_edges(order_messages(spark, d))
+
+
+@query("""WITH w AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(lower(text), '\\s+'), lambda x: regexp_replace(x, '[^\\p{L}\\p{N}]', '', 'g')), lambda x: x <> '') AS w FROM documents)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, sha256(array_to_string(w, ' ')) AS digest FROM w""")
+def normal_words(spark, d):
+    w = table(spark, d, "documents").select("doc_id", text.norm_words(F.col("text")).alias("w"))
+    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.sha2(F.array_join("w", " "), 256).alias("digest"))
+
+
+@query("SELECT doc_id, sha256(regexp_replace(text, '\\s+$', '') || chr(10)) AS digest FROM documents")
+def clean_bodies(spark, d):
+    footer = "\n_______________________________________________\nlist mailing list\nlist@lists.example\nhttps://lists.example/listinfo/list\n"
+    note = "\n-------------- next part --------------\nAn HTML attachment was scrubbed...\nURL: <https://lists.example/attachments/1/attachment.html>\n"
+    body = F.concat("text", F.lit(note), F.lit(footer))
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.strip_footer(text.strip_scrub_notes(body)), 256).alias("digest"))
+
+
+@query("SELECT n_nationkey, n_regionkey AS depth, n_name AS line FROM nation")
+def quote_depths(spark, d):
+    line = F.concat(F.expr("repeat('> ', n_regionkey)"), F.col("n_name"))
+    return table(spark, d, "nation").select("n_nationkey", text.quote_depth(line).cast("int").alias("depth"), text.dequote(line).alias("line"))
+
+
+@query("""WITH f AS (SELECT page_id, replace(url, 'http://', 'https://') AS url FROM pages)
+    SELECT page_id, url, regexp_matches(url, '^https://(www[.]cheap-pills|m[.]free-bets)[.]example[.]com/') AS allowed FROM f""")
+def repaired_urls(spark, d):
+    broken = F.concat(F.substring("url", 1, 9), F.lit("\n "), F.expr("substring(url, 10)"))
+    p = table(spark, d, "pages").select("page_id", text.fix_url(broken).alias("url"))
+    return p.withColumn("allowed", text.allowed_url(F.col("url"), ("www.cheap-pills.example.com", "m.free-bets.example.com")))
+
+
+@query("SELECT page_id, '<a href=''' || replace(url, '&', '&amp;') || '''>' || replace(url, '&', '&amp;') || '</a>' AS link FROM pages")
+def links(spark, d):
+    return table(spark, d, "pages").select("page_id", text.linkify(text.html_escape(F.col("url"))).alias("link"))
+
+
+@query("SELECT s_suppkey, 'Supplier ' || regexp_extract(s_name, '#(.*)$', 1) AS name FROM supplier")
+def names_from_addresses(spark, d):
+    address = F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), F.lit(".ext@mail.example"))
+    return table(spark, d, "supplier").select("s_suppkey", names.name_from_address(address).alias("name"))
+
+
+@query("""SELECT c_custkey, 'c' || c_custkey || '@' || lower(c_mktsegment) || '.example' AS address, 'user-' || substr(sha256('pepper' || 'c' || c_custkey || '@' || lower(c_mktsegment) || '.example'), 1, 12) || '@masked.invalid' AS mask FROM customer""")
+def pseudonyms(spark, d):
+    spoken = F.concat(F.lit("C"), F.col("c_custkey").cast("string"), F.lit(" at "), "c_mktsegment", F.lit(" dot example"))
+    c = table(spark, d, "customer").select("c_custkey", privacy.canonical_address(spoken).alias("address"))
+    return c.withColumn("mask", privacy.pseudonym(F.col("address"), "pepper"))
+
+
+@query("""SELECT o_custkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY contains(o_orderpriority, ' ') DESC, n DESC, f) AS r
+    FROM (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS f FROM orders GROUP BY 1, 2)) WHERE r = 1""")
+def preferred_names(spark, d):
+    return stats.real_names(table(spark, d, "orders"), "o_custkey", "o_orderpriority", "o_orderkey")
+
+
+# --- incremental tables
+@query("""SELECT event_id, user_id FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events)
+    WHERE r = 1 AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 100)""")
+def inserted_rows(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    return incremental.insert_or_ignore(e.where("event_type = 'purchase' and value > 100"), e, "user_id", ["event_id"]).select("event_id", "user_id")
+
+
+@query("SELECT c_custkey AS url, c_name AS data FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
+def vault_sync(spark, d):
+    build = table(spark, d, "customer").select(F.col("c_custkey").alias("url"), F.col("c_name").alias("data"))
+    vault = table(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("url"), F.col("o_orderstatus").alias("data"))
+    return incremental.vault_sync(build, vault, "url")[0]
+
+
+@query("SELECT s_suppkey AS folder, CASE WHEN c_nationkey = s_nationkey THEN c_custkey ELSE 0 END AS last_uid FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey")
+def reset_checkpoints(spark, d):
+    state = table(spark, d, "customer").select(F.col("c_custkey").alias("folder"), F.col("c_nationkey").alias("uidvalidity"), F.lit("host").alias("host"), F.lit("me").alias("account"), F.col("c_custkey").alias("last_uid"))
+    current = table(spark, d, "supplier").select(F.col("s_suppkey").alias("folder"), F.col("s_nationkey").alias("uidvalidity"), F.lit("host").alias("host"), F.lit("me").alias("account"))
+    return incremental.reset_checkpoint(state, current)
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_acctbal < 0 OR c_mktsegment = 'BUILDING'")
+def changed_customers(spark, d):
+    before = table(spark, d, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"), F.col("c_acctbal").alias("balance"))
+    after = table(spark, d, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment"), F.greatest("c_acctbal", F.lit(0.0)).alias("balance"))
+    return incremental.changed_rows(before, after, "c_custkey", ["segment", "balance"]).select("c_custkey", "c_nationkey")
+
+
+@query("SELECT min(doc_id) AS doc_id, sha1(text) AS digest FROM documents GROUP BY 2")
+def first_by_digest(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.sha1("text").alias("digest"))
+    return incremental.first_wins(docs, "digest", ["doc_id"])
+
+
+# --- attachments, discussions, sinks
+@query("SELECT 'c' || o_custkey AS url, max(o_orderkey) AS pos FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1")
+def references_to_fetch(spark, d):
+    key = lambda c: F.concat(F.lit("c"), F.col(c).cast("string")).alias("url")
+    known = table(spark, d, "customer").where("c_acctbal < 0").select(key("c_custkey"))
+    return attachments.new_references(table(spark, d, "orders").select(key("o_custkey"), F.col("o_orderkey").alias("pos")), known)
+
+
+@query("""WITH r AS (SELECT DISTINCT conv_id, unnest(['User', 'assistant', 'SYSTEM', 'tool']) AS cid FROM conversations)
+    SELECT r.conv_id AS msgid, cid, 't' || coalesce(max(turn) FILTER (role = cid), min(turn) FILTER (lower(role) = lower(cid))) AS url FROM r JOIN conversations c ON c.conv_id = r.conv_id GROUP BY 1, 2""")
+def embedded_images(spark, d):
+    c = table(spark, d, "conversations")
+    refs = c.select(F.col("conv_id").alias("msgid")).distinct().select("msgid", F.explode(F.array(*map(F.lit, ("User", "assistant", "SYSTEM", "tool")))).alias("cid"))
+    known = c.select(F.col("conv_id").alias("msgid"), F.col("role").alias("cid"), F.concat(F.lit("t"), F.col("turn").cast("string")).alias("url"), F.col("turn").alias("pos"))
+    return attachments.resolve_cids(refs, known)
+
+
+@query("SELECT page_id, length(html) > 1200 AS cached FROM pages")
+def recovered_bodies(spark, d):
+    p = table(spark, d, "pages")
+    url = F.concat(F.lit("https://lists.example/attachments/"), F.col("page_id").cast("string"), F.lit("/attachment.htm"))
+    messages = p.select(F.col("page_id").alias("msgid"), F.concat(F.lit("An HTML attachment was scrubbed...\nURL: <"), url, F.lit(">\n")).alias("body"), F.lit(None).cast("string").alias("body_html"))
+    cache = p.where(F.length("html") > 1200).select(url.alias("url"), F.lit(None).cast("string").alias("raw_html"), F.col("html").alias("body_html"))
+    found, wanted = attachments.recover_html(messages, cache)
+    return found.select(F.col("msgid").alias("page_id"), F.lit(True).alias("cached")).unionByName(wanted.select(F.col("msgid").alias("page_id"), F.lit(False).alias("cached")))
+
+
+@query("""SELECT 'd' || conv_id || '.' || turn AS msgid, NULL AS in_reply_to, 'Turn ' || turn AS subject, role AS from_name, sha1(text) AS digest FROM conversations
+    UNION ALL SELECT 'c' || conv_id || '.' || turn, 'd' || conv_id || '.' || turn, 'Re: Turn ' || turn, 'ghost', sha1(upper(role)) FROM conversations
+    UNION ALL SELECT 'r' || conv_id || '.' || turn, 'c' || conv_id || '.' || turn, 'Re: Turn ' || turn, role, sha1(role) FROM conversations""")
+def discussion_rows(spark, d):
+    c = table(spark, d, "conversations")
+    name = lambda head: F.concat(F.lit(head), F.col("conv_id").cast("string"), F.lit("."), F.col("turn").cast("string"))
+    none = F.lit(None).cast("string")
+
+    def node(head: str, body, login, **more):
+        fields = [name(head).alias("id"), F.lit("2024-05-06T07:08:09Z").alias("createdAt"), body.alias("body"), none.alias("bodyHTML"), F.struct(login.alias("login")).alias("author")]
+        return F.struct(*fields, *[v.alias(k) for k, v in more.items()])
+
+    nobody = F.lit(None).cast("struct<id:string>")
+    reply = node("r", F.col("role"), F.col("role"), replyTo=nobody)
+    comment = node("c", F.upper("role"), none, replyTo=nobody, replies=F.struct(F.array(reply).alias("nodes")))
+    root = node("d", F.col("text"), F.col("role"))
+    tree = c.select(root.alias("n"), F.concat(F.lit("Turn "), F.col("turn").cast("string")).alias("title"), F.struct(F.array(comment).alias("nodes")).alias("comments"))
+    return discussions.flatten_discussions(tree.select("n.*", "title", "comments")).select("msgid", "in_reply_to", "subject", "from_name", F.sha1("body").alias("digest"))
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%B') AS month, sha256(string_agg('From o' || o_orderkey || chr(10), '' ORDER BY o_orderdate, o_orderkey)) AS digest FROM orders GROUP BY 1""")
+def monthly_mbox(spark, d):
+    o = table(spark, d, "orders")
+    raw = F.concat(F.lit("From o"), F.col("o_orderkey").cast("string"))
+    rows = o.select(F.col("o_orderkey").alias("id"), text.month_label(F.col("o_orderdate")).alias("month"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date_iso"), raw.cast("binary").alias("raw"))
+    return sinks.monthly_mbox(rows).select("month", F.sha2("mbox", 256).alias("digest"))
+
+
+@query("""SELECT 0 AS kind, unnest(['', 'threads.html', 'archive.html', 'stats.html']) AS path UNION ALL SELECT DISTINCT 1, strftime(o_orderdate, '%Y-%B') || '.html' FROM orders
+    UNION ALL SELECT 2, 'thread/' || substr(sha1('t' || c_custkey), 1, 12) || '.html' FROM customer UNION ALL SELECT 3, 'msg/' || substr(sha1('o' || o_orderkey), 1, 16) || '.html' FROM orders""")
+def site_paths(spark, d):
+    o = table(spark, d, "orders")
+    months = o.select(text.month_label(F.col("o_orderdate")).alias("month")).distinct()
+    tids = table(spark, d, "customer").select(text.stable_id(F.concat(F.lit("t"), F.col("c_custkey").cast("string"))).alias("tid"))
+    mids = o.select(text.stable_id(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")), 16).alias("mid"))
+    return sinks.site_paths(months, tids, mids)
+
+
+@query(f"""WITH a AS (SELECT unnest(regexp_extract_all(text, '{_ADDRESS}')) AS a FROM documents)
+    SELECT 'leak' AS severity, count(*) AS n, count(DISTINCT a) AS n_distinct FROM a HAVING count(*) > 0""")
+def leak_totals(spark, d):
+    """Occurrences and distinct matches over the texts as they came."""
+    return obfuscation.leak_summary(table(spark, d, "documents"), "doc_id", ["text"]).where("severity = 'leak'").select("severity", "n", "n_distinct")

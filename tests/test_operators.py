@@ -204,3 +204,9 @@ def test_streams(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("dedup").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("dedup").count() == 2
+
+
+def test_thread_pages(spark):
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-03-01"), (3, None), (4, "2024-03-01")], "component long, last_date string")
+    assert {r.component: r.part for r in threads.thread_pages(rows, 2).collect()} == {2: 1, 4: 1, 1: 2, 3: 2}
+    assert threads.thread_pages(rows.limit(0), 2).count() == 0
