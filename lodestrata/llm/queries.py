@@ -11,6 +11,7 @@ from . import fingerprints as _fingerprints
 from . import jaccard as _jaccard
 from . import licenses as _licenses
 from . import mixing as _mixing
+from . import oracles as _oracles
 from . import packing as _packing
 from . import pii as _pii
 from . import quality as _quality
@@ -75,4 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others hold trained models, BPE, hash order or the method's own spans, which SQL cannot give.
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_jaccard": _oracles.NGRAM_JACCARD,
+    "op7_repeated_windows": _oracles.REPEATED_WINDOWS,
+}
