@@ -25,8 +25,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 90 % of their three-word shingles."""
-    return jaccard.keep_one(docs)
+    """One document of each group linked by 80 % of their five-word shingles."""
+    return jaccard.keep_one(docs, width=5, num=80, den=100)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -68,3 +69,37 @@ def test_empty_table(spark, sf, tmp_path):
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
         docs = docs if "text" in docs.columns else spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+
+
+def test_near_copies_of_five_word_shingles_go(spark):
+    """Brute force at 0.8 of five-word shingles, with copies that 0.9 of three-word shingles misses."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(0, 60, 3):
+        words = ["w%d" % rng.randrange(10**6) for _ in range(rng.choice([30, 100, 100, 240]))]
+        docs.append((i, words))
+        for k in (1, 2):
+            other = list(words)
+            for c in range(rng.choice([1, 2, 2, 3, 5])):
+                other[(7 + 23 * c) % len(other)] = "x%d" % rng.randrange(10**6)
+            docs.append((i + k, other))
+    docs.append((100, docs[3][1][:20] + ["y1"] + docs[3][1][21:]))
+    hundred = ["h%d" % i for i in range(100)]
+    docs += [(200, hundred), (201, [f"n{i}" if i in (30, 60) else w for i, w in enumerate(hundred)])]
+    sets = {i: {tuple(w[a : a + 5]) for a in range(len(w) - 4)} for i, w in docs}
+    root = {i: i for i in sets}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    df = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, df, "").collect())
+    assert kept == sorted(i for i in root if find(i) == i)
+    assert 201 not in kept and 201 in {r.doc_id for r in jaccard.keep_one(df).collect()}
