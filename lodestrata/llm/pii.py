@@ -95,9 +95,9 @@ _ODD = re.compile("[" + "".join(map(re.escape, sorted(_FOLD))) + "]")
 _WORDS = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<!\w)(?:(?:plus|{_WORDS}|[0-9]+)[ ,.-]{{1,2}}){{6,}}(?:{_WORDS}|[0-9]+)(?!\w)", re.I)
 _SPELLED_WORD = re.compile(rf"(?<!\w)({_WORDS})(?!\w)", re.I)
-#: A text with a spelled number has one of these beside a neighbour that is a digit word as well.
-_SPELLED_HINT = re.compile(rf"(?<!\w)(?:{_WORDS})[ ,.-]{{1,2}}(?:{_WORDS})[ ,.-]{{1,2}}(?:{_WORDS})(?!\w)", re.I)
-_COMMON = ("two", "three", "four", "five", "six", "seven", "eight", "nine", "zero", "zwei", "drei", "vier", "sieben", "deux", "trois", "quatre", "cinq", "tres", "cuatro", "cinco", "siete", "ocho", "one one", "un un", "eins eins", "uno uno")
+#: A longest run of number words and digits. _SPELLED can only match at a run's start: later starts
+#: have the same end and fewer words. Possessive, so that runs without a match stay linear.
+_RUN = re.compile(rf"(?<!\w)(?:(?:plus|{_WORDS}|[0-9]+)[ ,.-]{{1,2}}){{6,}}+", re.I)
 _AT_BRACKET = re.compile(r"\s*(?:[\[({<]\s*(?:at|@|arobase|arroba)\s*[\])}>]|&#0*64;|&#x0*40;|%40)\s*", re.I)
 _DOT_BRACKET = re.compile(r"\s*(?:[\[({<]\s*(?:dot|\.|point|punkt|punto)\s*[\])}>]|&#0*46;|&#x0*2e;)\s*", re.I)
 #: The bare words stand for signs only where both occur, as in "jo at site dot org".
@@ -132,15 +132,20 @@ class Mapped:
 
 def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    for m in _SPELLED.finditer(text):
-        at, first = m.start(), True
+    for run in _RUN.finditer(text):
+        m = _SPELLED.match(text, run.start())
+        if m is None:
+            continue
+        at, first, plus = m.start(), True, False
         for w in re.finditer(r"[^ ,.-]+", m[0]):
             a, b = m.start() + w.start(), m.start() + w.end()
             word = w[0].lower()
             if word in _DIGIT_WORDS or word == "plus":
                 # The gap before a digit word goes with it: "five five" becomes "55".
                 edits.append((a if first else max(at, edits[-1][1] if edits else 0), b, "+" if word == "plus" else str(_DIGIT_WORDS[word])))
-            at, first = b, False
+            elif plus:  # "plus 1" becomes "+1"
+                edits.append((at, a, ""))
+            at, first, plus = b, False, word == "plus"
     return edits
 
 
@@ -159,8 +164,7 @@ def deobfuscate(text: str) -> Mapped | None:
     if _may_have_lookalikes(text):
         m = m.rewrite([(x.start(), x.end(), _FOLD[x[0]]) for x in _ODD.finditer(text)])
     low = m.text.lower()
-    if sum(map(low.count, _COMMON)) >= 3 and _SPELLED_HINT.search(low):
-        m = m.rewrite(_spelled_edits(m.text))
+    m = m.rewrite(_spelled_edits(m.text))
     if "&#" in low or "%40" in low or "[" in low or "(" in low or "{" in low or "<" in low:
         for pattern, sign in ((_AT_BRACKET, "@"), (_DOT_BRACKET, ".")):
             m = m.rewrite([(x.start(), x.end(), sign) for x in pattern.finditer(m.text)])

@@ -200,3 +200,30 @@ def test_quality_separates_and_never_learns_from_held_out(spark):
     assert all(abs(again[i][2] - got[i][2]) < 1e-6 for i in got)
     assert rows(quality.classify(d.limit(0), y)) == []
     assert {r[2] for r in rows(quality.classify(d, y.limit(0)))} == {0.5}
+
+
+def test_spelled_numbers_are_found_in_every_language_and_mix():
+    for text in (
+        "plus vier neun eins fünf eins acht sechs neun null fünf acht",
+        "plus un zéro six huit neuf sept un huit neuf zéro sept",
+        "plus seis uno nueve dos cero seis nueve uno dos cero",
+        "plus 1 five 5 five 1 two 3 four 5 six 7",
+    ):
+        assert [(pii.KINDS[k], a, b) for a, k, b in pii.find("Call " + text + ", now")[1]] == [("phone", 5, 5 + len(text))]
+    rng = random.Random(9)
+    tokens = [*pii._DIGIT_WORDS, "Uno", "SEPT", "plus", "plus", "plus", *"0123456789", "42", "x", "one1", "unx", "ſix"]
+    found = 0
+    for n in range(6000):
+        pool = rng.sample(tokens, rng.choice([2, 4, len(tokens)]))
+        text = "".join(rng.choice(pool) + rng.choice([" ", " ", " ", ", ", "-", ".", "--", " - ", "\n" if n % 5 == 0 else " "]) for _ in range(rng.randint(1, 24))).rstrip()
+        want = [(m.start(), m.end()) for m in pii._SPELLED.finditer(text)]
+        edits = pii._spelled_edits(text)
+        inside = [next((s for s in want if s[0] <= a and b <= s[1]), None) for a, b, _ in edits]
+        assert None not in inside
+        spelled = {s for s in want if any(w.lower() in pii._DIGIT_WORDS or w.lower() == "plus" for w in re.findall(r"[^ ,.-]+", text[s[0] : s[1]]))}
+        assert set(inside) == spelled
+        found += len(spelled)
+        got, full = pii.deobfuscate(text), pii.Mapped(text).rewrite(edits)
+        assert (got.text if got else text) == full.text
+    assert found > 1000
+    pii.find("plus " * 60000 + "x")  # linear
