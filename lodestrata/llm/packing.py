@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import partitions
 from .bpe import encoder
 
-_K1, _B, _QUERY_TERMS, _SHORTLIST = 1.2, 0.75, 24, 16
+_K1, _B = 1.2, 0.75
 _FIELDS = (("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long"))
 
 
@@ -43,15 +43,9 @@ class LexicalIndex:
         by_term = np.argsort(dense, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
         self.at = np.concatenate(([0], np.cumsum(df)))
-        # The terms of each document that say most about it are its query.
+        # All terms of a document are its query.
         bounds = np.concatenate(([0], np.cumsum([len(t) for t, _ in found])))
-        self.query = [self._best(dense[a:b], weight[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-
-    @staticmethod
-    def _best(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        if len(terms) <= _QUERY_TERMS:
-            return terms
-        return terms[np.argpartition(-weights, _QUERY_TERMS)[:_QUERY_TERMS]]
+        self.query = [dense[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def take_first(self) -> int | None:
         """The unused document that comes first, now used."""
@@ -63,15 +57,14 @@ class LexicalIndex:
         return self.first
 
     def neighbours(self, seed: int) -> Iterator[int]:
-        """Unused documents by falling score, each used as it is given; then the rest in order."""
+        """All unused documents of a positive score, best first, each used as it is given; then the rest in order."""
         spans = [slice(self.at[t], self.at[t + 1]) for t in self.query[seed]]
         if spans:
             score = np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
             score[~self.unused] = 0
-            k = min(_SHORTLIST, self.n)
-            best = np.argpartition(-score, k - 1)[:k]
-            for d in best[np.lexsort((best, -score[best]))]:
-                if score[d] > 0 and self.unused[d]:
+            # Ties keep the documents' order.
+            for d in np.argsort(-score, kind="stable")[: np.count_nonzero(score > 0)]:
+                if self.unused[d]:
                     self.unused[d] = False
                     yield int(d)
         while (d := self.take_first()) is not None:

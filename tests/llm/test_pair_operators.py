@@ -206,6 +206,24 @@ def test_packing_prefers_lexical_neighbours():
     assert sorted(first) == [0, 2, 4]
 
 
+def test_packing_keeps_a_family_of_short_texts_together():
+    """More neighbours than any shortlist, and one that shares only the seed's least telling term."""
+    rng = np.random.default_rng(4)
+    family = lambda k: np.concatenate((np.arange(1000 * k, 1000 * k + 20), rng.integers(10**5, 10**6, 5))).astype(np.uint32)
+    docs = [family(1 + i % 3) for i in range(120)]
+    sequence = defaultdict(set)
+    for d, _, _, seq, _ in packing.pack_shard(docs, 40 * 25):
+        sequence[seq].add(d % 3)
+    assert all(len(kinds) == 1 for kinds in sequence.values()) and len(sequence) == 3
+    common = np.array([7], np.uint32)
+    seed = np.concatenate((common, np.repeat(np.arange(100, 160, dtype=np.uint32), 3)))
+    docs = [seed, *(np.arange(200 + 9 * i, 209 + 9 * i, dtype=np.uint32) for i in range(30)), np.concatenate((common, np.arange(900, 920, dtype=np.uint32))), np.arange(100, 160, dtype=np.uint32)]
+    index = packing.LexicalIndex(docs)
+    assert index.take_first() == 0
+    given = index.neighbours(0)
+    assert [next(given), next(given), next(given)] == [32, 31, 1]
+
+
 def brute_nearest(data, every, k):
     ok = {i: np.array(v) for i, v in data if i is not None and v is not None and None not in v and len(v) == 16 and np.isfinite(v).all() and np.any(v)}
     out = {}
