@@ -1,33 +1,74 @@
 """Operator 9: lexical retrieval packing.
 
-Documents are dealt by hash into shards of about ``shard_bytes`` of text. Each shard
-is one BM25 inverted index over token ids. A window begins with a seed document; its
-unused neighbours, best BM25 score first, fill the window, and the one that does not
-fit is cut: its rest begins the next window. So all windows of a shard but the last
-are full, and memory depends on the shard, never on the table.
+Texts are encoded once. Document frequencies, count and mean length for BM25 are of
+the whole corpus. Documents are put in the order of three telling terms (weighted
+minima, by idf, so documents meet the more likely the more telling terms they share)
+and cut into shards of about ``shard_bytes`` of text; equal texts lie together
+whatever their ids. Each shard is one inverted index over token ids. A window begins
+with a seed document; its unused neighbours, best BM25 score first, fill the window,
+and the one that does not fit is cut: its rest begins the next window. So all windows
+of a shard but the last are full, and memory depends on the shard, never on the table.
+Neighbours in other shards are not searched.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import partitions
+from ..session import materialize, partitions
 from .bpe import encoder
+from .words import U, mix
 
 _K1, _B = 1.2, 0.75
 _FIELDS = (("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("doc_tokens", "long"), ("sequence_id", "long"), ("offset", "long"))
+_SAMPLES, _MOST_SAMPLES = 32, 1 << 21  # keys read to place the bounds: a shard, and at most
+
+
+@dataclass
+class Corpus:
+    """What BM25 takes from all documents: their count, mean length and each term's frequency."""
+
+    n: int
+    mean: float
+    df: np.ndarray  # by term id
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        df = self.df[terms]
+        return np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+
+class ShardKeys:
+    """64 bits that order documents: three telling terms, then a hash that parts equal texts' families."""
+
+    def __init__(self, corpus: Corpus):
+        terms = np.arange(len(corpus.df))
+        # A term of a single document brings no neighbour.
+        idf = np.where(corpus.df > 1, corpus.idf(terms).astype(float), 1e-9)
+        hashes = [mix(terms.astype(U) + U((k + 1) << 40)) for k in range(3)]
+        self.cost = [-np.log(((h >> U(11)).astype(float) + 1) * 2.0**-53) / idf for h in hashes]
+        self.place = [(mix(h) >> U(48)).astype(np.int64) for h in hashes]
+
+    def __call__(self, ids: np.ndarray, row_hash: int) -> int:
+        terms, key = np.unique(ids), 0
+        for cost, place in zip(self.cost, self.place, strict=True):
+            key = key << 16 | int(place[terms[np.argmin(cost[terms])]])
+        return (key << 16 | row_hash & 0xFFFF) - (1 << 63)
 
 
 class LexicalIndex:
-    """BM25 postings over the documents of a shard, and which of them are unused."""
+    """BM25 postings over the documents of a shard, and which of them are unused.
+
+    Without a corpus the shard's own documents are the corpus.
+    """
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Corpus | None = None):
         n = len(docs)
         self.unused, self.n, self.first = np.ones(n, bool), n, 0
         found = [np.unique(d, return_counts=True) for d in docs]
@@ -36,9 +77,12 @@ class LexicalIndex:
         doc = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in found])
         vocabulary, dense = np.unique(terms, return_inverse=True)
         df = np.bincount(dense, minlength=len(vocabulary))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
         length = np.array([len(d) for d in docs], np.float32)
-        norm = _K1 * (1 - _B + _B * length / max(1.0, float(length.mean()) if n else 1.0))
+        if corpus is None:
+            idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32), float(length.mean()) if n else 1.0
+        else:
+            idf, mean = corpus.idf(vocabulary), corpus.mean
+        norm = _K1 * (1 - _B + _B * length / max(1.0, mean))
         weight = idf[dense] * tf * (_K1 + 1) / (tf + norm[doc])
         by_term = np.argsort(dense, kind="stable")
         self.doc, self.weight = doc[by_term], weight[by_term]
@@ -71,9 +115,9 @@ class LexicalIndex:
             yield d
 
 
-def pack_shard(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one shard."""
-    index, pieces, sequence = LexicalIndex(docs), [], 0
+    index, pieces, sequence = LexicalIndex(docs, corpus), [], 0
     seed, at = index.take_first(), 0
     while seed is not None:
         offset, doc, source = 0, seed, None
@@ -100,25 +144,97 @@ def pack_shard(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int,
     return pieces
 
 
+def _stored(ids: np.ndarray) -> bytes:
+    """Two bytes an id where that is enough, told by an odd length; else four."""
+    return ids.astype("<u2").tobytes() + b"\0" if ids.max() < 1 << 16 else ids.astype("<u4").tobytes()
+
+
+def _read(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2", len(raw) // 2).astype("<u4") if len(raw) % 2 else np.frombuffer(raw, "<u4")
+
+
+def encode(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
+    """_id, _bytes, _hash and _ids (see _stored) of every row."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), (F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 64).alias("_bytes"), F.xxhash64(id_col, text_col).alias("_hash"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, tail = encoder(tokenizer), np.array([end_id], "<u4")
+        for batch in batches:
+            ids = [_stored(np.concatenate((enc.ids(t), tail)) if t else tail) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(ids, pa.binary())], names=["_id", "_bytes", "_hash", "_ids"])
+
+    return rows.mapInArrow(run, f"_id {kind}, _bytes long, _hash long, _ids binary")
+
+
+def corpus_of(encoded: DataFrame) -> Corpus:
+    """One row a term of the vocabulary comes to the driver; -1 stands for documents, -2 for tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(1 << 16, np.int64), 0, 0
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                ids = _read(raw)
+                n, tokens, terms = n + 1, tokens + len(ids), np.unique(ids)
+                if terms[-1] >= len(df):
+                    df = np.concatenate((df, np.zeros(int(terms[-1]) + 1, np.int64)))
+                df[terms] += 1
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((seen, [-1, -2]))), pa.array(np.concatenate((df[seen], [n, tokens])))], names=["term", "n"])
+
+    counts = encoded.select("_ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    of = dict(zip(counts.column("term").to_pylist(), counts.column("n").to_pylist(), strict=True))
+    n, tokens = of.pop(-1, 0), of.pop(-2, 0)
+    df = np.zeros(max(of, default=0) + 1, np.int64)
+    df[list(of)] = list(of.values())
+    return Corpus(n, tokens / max(1, n), df)
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "byte_bpe_50k.json", window: int = 2048, end_id: int = 1, shard_bytes: int = 3 << 20) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null text counts as empty: the end id alone. Rows that repeat are packed each
     for itself; a null id is kept. An empty table gives no rows.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, spark = docs.schema[id_col].dataType.simpleString(), docs.sparkSession
     names = [id_col, *(n for n, _ in _FIELDS)]
-    total = docs.agg(F.sum(F.octet_length(text_col).cast("long") + 64)).first()[0] or 0
+    encoded = materialize(encode(docs, id_col, text_col, tokenizer, end_id), "packing-ids")
+    total = encoded.agg(F.sum("_bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(shards)).alias("_shard"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    rows = rows.repartition(max(1, partitions(docs.sparkSession)), "_shard").sortWithinPartitions("_shard", "_id")
+    known = spark.sparkContext.broadcast(corpus_of(encoded))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = ShardKeys(known.value)
+        for batch in batches:
+            raw, hashes = batch.column(3), batch.column(2).to_pylist()
+            keys = [key(_read(r), h) for r, h in zip(raw.to_pylist(), hashes, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column(0), batch.column(1), raw], names=["_key", "_id", "_bytes", "_ids"])
+
+    def keys_of(rows: DataFrame) -> DataFrame:
+        return rows.select("_id", "_bytes", "_hash", "_ids").mapInArrow(keyed, f"_key long, _id {kind}, _bytes long, _ids binary")
+
+    bounds = np.zeros(0, np.int64)
+    if shards > 1:  # shares of a sample's bytes; which rows it has depends on their hashes alone
+        every = max(1, known.value.n // min(_SAMPLES * shards, _MOST_SAMPLES))
+        sample = keys_of(encoded.where(F.pmod(F.xxhash64("_hash"), F.lit(every)) == 0)).select("_key", "_bytes").toArrow().sort_by("_key")
+        keys, upto = sample.column("_key").to_numpy(), np.cumsum(sample.column("_bytes").to_numpy())
+        if len(keys):
+            bounds = np.unique(keys[np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)])
+    cuts = spark.sparkContext.broadcast(bounds)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in keyed(batches):
+            shard = np.searchsorted(cuts.value, batch.column(0).to_numpy(), "right")
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), batch.column(0), batch.column(1), batch.column(3)], names=["_shard", "_key", "_id", "_ids"])
+
+    rows = encoded.select("_id", "_bytes", "_hash", "_ids").mapInArrow(dealt, f"_shard long, _key long, _id {kind}, _ids binary")
+    rows = rows.repartition(max(1, partitions(spark)), "_shard").sortWithinPartitions("_shard", "_id", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, tail = encoder(tokenizer), np.array([end_id], "<u4")
         now, ids, tokens = None, [], []
 
         def close() -> pa.RecordBatch:
-            pieces = pack_shard(tokens, window)
+            pieces = pack_shard(tokens, window, known.value)
             base = int(now) << 32
             columns = [
                 pa.array([ids[p[0]] for p in pieces], id_type), pa.array([p[1] for p in pieces], pa.int64()), pa.array([p[2] for p in pieces], pa.int64()),
@@ -128,14 +244,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            id_type = batch.column(1).type
-            for shard, ident, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            id_type = batch.column(2).type
+            for shard, ident, raw in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
                 if shard != now and tokens:
                     yield close()
                     ids, tokens = [], []
                 now = shard
                 ids.append(ident)
-                tokens.append(np.concatenate((enc.ids(text), tail)) if text else tail)
+                tokens.append(_read(raw))
         if tokens:
             yield close()
 

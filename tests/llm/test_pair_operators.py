@@ -224,6 +224,30 @@ def test_packing_keeps_a_family_of_short_texts_together():
     assert [next(given), next(given), next(given)] == [32, 31, 1]
 
 
+def test_packing_brings_copies_together_across_shards(spark):
+    """Families of equal texts, far more shards than a family fills: members meet whatever their ids."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(4000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(120)) for _ in range(60)]
+    docs = [(rng.randrange(10**9), texts[i % 60]) for i in range(360)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    size = sum(len(t) + 64 for _, t in docs)
+    got, text = rows(packing.pack(df, window=1024, shard_bytes=size // 12)), dict(docs)
+    where, shards = defaultdict(set), defaultdict(set)
+    for i, *_, seq, _ in got:
+        where[text[i]].add(seq >> 32)
+        shards[seq >> 32].add(i)
+    assert len(shards) >= 8 and max(map(len, shards.values())) <= 120
+    assert sum(map(len, where.values())) <= 60 + 12
+    assert Counter(got) == Counter(rows(packing.pack(df.repartition(5), window=1024, shard_bytes=size // 12)))
+    encoded = packing.encode(df, "doc_id", "text", "byte_bpe_50k.json", 1)
+    corpus, enc = packing.corpus_of(encoded), Encoder("byte_bpe_50k.json")
+    ids = [[*enc.slow(t), 1] for _, t in docs]
+    assert corpus.n == 360 and abs(corpus.mean - sum(map(len, ids)) / 360) < 1e-9
+    df_of = Counter(t for d in ids for t in set(d))
+    assert {int(t): int(corpus.df[t]) for t in np.flatnonzero(corpus.df)} == df_of
+
+
 def brute_nearest(data, every, k):
     ok = {i: np.array(v) for i, v in data if i is not None and v is not None and None not in v and len(v) == 16 and np.isfinite(v).all() and np.any(v)}
     out = {}
