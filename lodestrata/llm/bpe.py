@@ -1,9 +1,10 @@
-"""Exact, cached encoding with the vocabulary files of public tokenizers.
+"""Exact encoding with the vocabulary files of public tokenizers.
 
-A byte-level BPE text may be cut before any single space that is followed by a
-character that is not white space: the pre-tokenizer binds that space to what
-follows and never matches across it. The pieces repeat, so their ids are kept in
-a bounded cache. Files of other kinds go to their own library, uncut.
+A byte-level BPE text may be cut before any single space that stands between two
+characters that are not white space: the pre-tokenizer binds that space to what
+follows and never matches across it. Long texts are cut there, so one call's memory
+is bounded by the cut size (a run without such a place stays whole). Nothing is kept
+between calls but the ranks. Files of other kinds go to their own library.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from functools import lru_cache
 
 import numpy as np
 
-_UNSAFE, _SAFE_CUT = re.compile(r" (?:\s|$)"), re.compile(r" (?=\S)")
+_SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = 1 << 16
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -25,53 +27,53 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Cache(dict):
-    """Bare piece -> what its encoding with a leading space gives; bounded, filled on demand."""
-
-    def __init__(self, encode, room: int):
-        super().__init__()
-        self.encode, self.room = encode, room
-
-    def __missing__(self, piece: str):
-        value = self.encode(" " + piece)
-        if len(self) < self.room and len(piece) <= 64:
-            self[piece] = value
-        return value
+def probes(special: list[str]) -> list[str]:
+    """Texts on which ranks must agree with the library before they are trusted."""
+    spaces = ["", " ", "  ", "\n", "\t", "\r\n", " ", " \n ", "　"]
+    out = ["It's 2024's été—naïve 数据 I'LL we've", "a \n \n b   ", "x" * 300, " " * 300 + "y", "١٢٣ ४५६ ⅷ²", "éa‍\U0001f469‍\U0001f4bb", "\0\x01\x7f"]
+    out += [f"a{s}b{s}{s}c{s}" for s in spaces]
+    out += [f"x{s}{t}{s}y{t}{t}z{t[:-1]}" for t in special for s in spaces]
+    rng = np.random.default_rng(5)
+    out += [rng.integers(0, 256, 200, np.uint8).tobytes().decode("utf-8", "replace") for _ in range(8)]
+    out += ["".join(map(chr, rng.choice([*range(32, 127), *range(0xA0, 0x250), 0x4E00, 0x3042, 0x1F600, 9, 10, 13, 32, 32, 32], 200))) for _ in range(8)]
+    return out
 
 
 class Encoder:
     """Ids and counts of whole texts, as the library of the file gives them."""
 
-    def __init__(self, name: str, cache_entries: int = 300_000):
+    def __init__(self, name: str):
         import public_tokenizers
 
         self.path, self.fast = public_tokenizers.path(name), None
-        self.ids_of = _Cache(lambda piece: np.array(self.fast(piece), "<u4").tobytes(), cache_entries)
-        self.count_of = _Cache(lambda piece: len(self.fast(piece)), cache_entries)
         if name.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=self.path)
-            self.slow = lambda text: model.encode(text, num_threads=1)
+            self.library = lambda texts: model.encode(texts, num_threads=1)
             return
         with open(self.path, encoding="utf-8") as f:
             spec = json.load(f)
         if spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel":
             self.fast = self._ranked(spec)
         if self.fast is not None:
-            self.__dict__.pop("slow", None)  # loaded again only when asked for: it would hold memory in every worker
+            self.__dict__.pop("library", None)  # loaded again only when asked for: it would hold memory in every worker
 
     def __getattr__(self, name: str):
-        if name != "slow":
+        if name != "library":
             raise AttributeError(name)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(self.path)
-        library.no_truncation()
-        library.no_padding()
-        self.slow = lambda text: library.encode(text, add_special_tokens=False).ids
-        return self.slow
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        self.library = lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.library
+
+    def slow(self, text: str) -> list[int]:
+        """What the library itself gives."""
+        return self.library([text])[0]
 
     def _ranked(self, spec: dict):
         """An encoder over ranks for the same file, kept only if it agrees with the library."""
@@ -84,46 +86,60 @@ class Encoder:
             return None
         alphabet, special = _byte_alphabet(), {a["content"]: a["id"] for a in added}
         ranks = {bytes(alphabet[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
-        encoding = tiktoken.Encoding("from-json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        allowed = set(special)
-        marks = "".join(sorted({c[0] for c in special}))
-        plain = encoding._core_bpe.encode_ordinary if hasattr(encoding, "_core_bpe") else encoding.encode_ordinary
-
-        def encode(text: str) -> list[int]:
-            if any(m in text for m in marks):
-                return encoding.encode(text, allowed_special=allowed)
-            return plain(text)
-
-        for probe in ("", "a  b\n c\t\td", "It's 2024's été—naïve 数据", " x<|endoftext|> y  z", "a \n \n b   "):
-            if encode(probe) != self.slow(probe):
-                return None
+        encoding, allowed = tiktoken.Encoding("from-json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special), set(special)
+        core = getattr(encoding, "_core_bpe", None)
+        if hasattr(core, "encode_to_tiktoken_buffer"):  # gives bytes, no list of ints
+
+            def encode(text: str) -> np.ndarray:
+                return np.frombuffer(core.encode_to_tiktoken_buffer(text, allowed), "<u4")
+        else:
+
+            def encode(text: str) -> np.ndarray:
+                return np.array(encoding.encode(text, allowed_special=allowed), "<u4")
+
+        tests = probes(list(special))
+        if any(encode(t).tolist() != ids for t, ids in zip(tests, self.library(tests), strict=True)):
+            return None
         return encode
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text cut at safe spaces, which are left out: ``" ".join`` gives it back."""
-        if _UNSAFE.search(text) is None:
-            return text.split(" ")
-        cuts = [m.start() for m in _SAFE_CUT.finditer(text)]
-        return [text[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)], strict=True)]
+    def pieces(text: str, size: int = _CUT) -> list[str]:
+        """The text cut at safe places into pieces of about ``size`` characters."""
+        out, at = [], 0
+        while len(text) - at > size:
+            cut = _SAFE_CUT.search(text, at + size)
+            if cut is None:
+                break
+            out.append(text[at : cut.start()])
+            at = cut.start()
+        return [*out, text[at:]]
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text as uint32, little-endian."""
+        if self.fast is None:
+            return [np.array(ids, "<u4") for ids in self.library(texts)]
+        return [self._one(t) if len(t) <= _CUT else np.concatenate([self._one(p) for p in self.pieces(t)]) for t in texts]
 
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of a text as uint32, little-endian."""
+    def counts(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text."""
         if self.fast is None:
+            return [len(ids) for ids in self.library(texts)]
+        return [len(ids) for ids in self.batch(texts)]
+
+    def _one(self, text: str) -> np.ndarray:
+        try:
+            return self.fast(text)
+        except ValueError:  # the regex engine gives up on very long runs of white space
             return np.array(self.slow(text), "<u4")
-        first, *rest = self.pieces(text)
-        head = np.array(self.fast(first), "<u4").tobytes()
-        return np.frombuffer(head + b"".join(map(self.ids_of.__getitem__, rest)), "<u4")
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.batch([text])[0]
 
     def count(self, text: str) -> int:
-        """The number of ids of a text."""
-        if self.fast is None:
-            return len(self.slow(text))
-        first, *rest = self.pieces(text)
-        return len(self.fast(first)) + sum(map(self.count_of.__getitem__, rest))
+        return self.counts([text])[0]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def encoder(name: str) -> Encoder:
     """One encoder a worker process and file."""
     return Encoder(name)

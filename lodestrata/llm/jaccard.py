@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from ..session import discard, materialize, partitions
 from .keyset import collect_keys
-from .words import U, byte_chunks, hash_words, mix, shingles
+from .words import U, hash_words, mix, shingles, text_chunks
 
 _SPARE = 1  # parts beyond the differences allowed: a set with that many empty parts needs no list of them
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
@@ -152,12 +152,11 @@ def _set_key(s: np.ndarray) -> int:
     return int(x.view(np.int64)[0])
 
 
-def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
-    texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-    for i, j in byte_chunks([len(t) for t in texts]):
-        words, at = hash_words(texts[i:j], lower=True)
-        for a, b in zip(at, at[1:], strict=False):
-            yield np.unique(shingles(words[a:b], width))
+def _sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(i, j, shingle sets of rows i to j), a bounded number of bytes at a time."""
+    for i, j, raw in text_chunks(texts):
+        words, at = hash_words(raw, lower=True)
+        yield i, j, [np.unique(shingles(words[a:b], width)) for a, b in zip(at, at[1:], strict=False)]
 
 
 def _candidates(n: np.ndarray, block: np.ndarray, sketches: list[bytes], two: bool, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -254,25 +253,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked; repeated rows stay repeated. A null id is never a component's name
     while another id is there. Ids are integers.
     """
+    return _components(docs, id_col, text_col, width, num, den).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("best.id", "id").alias("component_id"))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """(id, row, n, best): ``row`` hashes id and text; ``best`` is the (no_id, id, row) of the component's first row, or null."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    rows = rows.withColumn("_row", F.xxhash64("_id", "_text"))
     spark = docs.sparkSession
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, sketches, sigs = [], [], [], []
-            for s in _sets(batch, width):
-                n.append(len(s))
-                keys.append(_set_key(s) if len(s) else None)
-                sketches.append(odd_sketch(s).tobytes() if len(s) else None)
-                sigs.append(signatures(s, num, den).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "n", "key", "sketch", "sigs"])
-
-    all_docs = materialize(rows.mapInArrow(describe, "id long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
+            for i, j, found in _sets(batch.column(1), width):
+                sigs = [signatures(s, num, den).view(np.int64) for s in found]
+                ends = np.cumsum([0, *map(len, sigs)])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([len(s) for s in found], pa.int64()), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()),
+                    pa.array([odd_sketch(s).tobytes() if len(s) else None for s in found], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sigs))),
+                ], names=["id", "row", "n", "key", "sketch", "sigs"])
+
+    all_docs = materialize(rows.mapInArrow(describe, "id long, row long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
     # Lists that hold two classes at least; a class's copies fall together before the shuffle.
     lists = all_docs.select(F.explode("sigs").alias("sig"), "key").groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).where("x < y")
     lists = materialize(lists.select("sig"), "jaccard-lists")
     hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
-    discard(lists)
+    discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
 
     def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(sig, key) of signatures that may be in such a list."""
@@ -283,6 +288,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(np.repeat(batch.column(0).to_numpy(), lengths)[keep])], names=["sig", "key"])
 
     slim = materialize(all_docs.where("key is not null").select("key", "sigs").mapInArrow(surviving, "sig long, key long").distinct(), "jaccard-postings")
+    hot.unpersist()
+    described, all_docs = all_docs, materialize(all_docs.drop("sigs"), "jaccard-classes")
+    discard(described)
     # Lists with the same members are scanned once.
     counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("key")).alias("h2")).where("size > 1")
     kept = materialize(counted.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "size"), "jaccard-kept")
@@ -291,6 +299,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = members.select("sig", "key", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("other"))
     group = F.xxhash64("sig", F.least("block", "other"), F.greatest("block", "other"))
     members = materialize(members.select(group.alias("group"), (F.col("block") != F.col("other")).alias("two"), "block", "key"), "jaccard-members")
+    discard(slim)
+    discard(kept)
     # In a group of two blocks, rows of both carry the same flag: the pair's, not the row's.
     listed = members.select("key").distinct()
     facts = all_docs.where("key is not null").groupBy("key").agg(F.min(F.coalesce("id", F.lit(_NULL_ID))).alias("rid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -308,11 +318,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             rid = np.array([_NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)
             at = np.flatnonzero(wanted.value.may_hold(mix(rid.view(U))))
-            found = list(_sets(batch.take(pa.array(at)), width)) if len(at) else []
-            yield pa.RecordBatch.from_arrays([pa.array(rid[at]), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rid", "key", "members"])
+            for i, j, found in _sets(batch.column(1).take(pa.array(at)), width):
+                yield pa.RecordBatch.from_arrays([pa.array(rid[at[i:j]]), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rid", "key", "members"])
 
     sets = rows.mapInArrow(read_sets, "rid long, key long, members binary").join(touched, ["rid", "key"])
     sets = materialize(sets.groupBy("key").agg(F.first("members").alias("members")).withColumn("n", F.length("members") / F.lit(8)).withColumn("n", F.col("n").cast("long")), "jaccard-sets")
+    wanted.unpersist()
+    discard(touched)
     tested = materialize(_verified(pairs, sets, num, den), "jaccard-tested")
     links = tested.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     labels = materialize(connected_components(links), "jaccard-labels")
@@ -321,29 +333,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = materialize(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-rest")
     more = materialize(_verified(rest, sets, num, den).where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")), "jaccard-more")
     if more.limit(1).count():
+        discard(labels)
         labels = materialize(connected_components(links.unionByName(more)), "jaccard-labels")
 
-    # Names of components: the smallest id over their classes.
-    smallest = all_docs.where("key is not null").groupBy("key").agg(F.min("id").alias("first"))
+    # Names of components: the smallest id over their classes, and the row that has it.
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
+    smallest = all_docs.where("key is not null").groupBy("key").agg(first.alias("first"))
     named = smallest.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    roots = named.groupBy("component").agg(F.min("first").alias("name"))
-    names = materialize(named.join(roots, "component").select("key", "name"), "jaccard-names")
-    out = all_docs.select("id", "n", "key").join(names, "key", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("name", "id").alias("component_id"))
+    roots = named.groupBy("component").agg(F.min("first").alias("best"))
+    names = materialize(named.join(roots, "component").select("key", "best"), "jaccard-names")
+    for table in (members, facts, pairs, sets, tested, rest, more, labels):
+        discard(table)
+    return all_docs.select("id", "row", "n", "key").join(names, "key", "left").select("id", "row", "n", "best")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids last.
 
-    Of rows that share an id one stays. Null ids stay where nothing links them.
+    Rows are judged each for itself, so rows that share an id but not a component
+    stay. Of rows equal in id and text the least by its JSON stays. Rows without
+    text stay, as nothing links them. Extra columns may have any names and types.
     """
-    found = materialize(jaccard_components(docs, id_col, text_col, **options), "jaccard-components")
-    ident = F.col(id_col)
-    gone = found.where(~ident.eqNullSafe(F.col("component_id"))).select(ident).distinct()
-    twice = found.groupBy(id_col).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1)).select(id_col)
-    gone, twice = materialize(gone, "jaccard-gone"), materialize(twice, "jaccard-twice")
-    left = docs.join(gone, id_col, "left_anti")
-    once = left.join(twice, id_col, "left_anti")
-    # A row is picked by its columns' order, so reruns agree.
-    again = left.join(twice, id_col, "left_semi").groupBy(id_col).agg(F.min(F.struct(*[c for c in docs.columns if c != id_col])).alias("_r"))
-    return once.select(docs.columns).unionByName(again.select(*[F.col(c) if c == id_col else F.col("_r")[c].alias(c) for c in docs.columns]))
+    found = materialize(_components(docs, id_col, text_col, width, num, den), "jaccard-components")
+    chosen = F.col("best").isNull() | ((F.col("row") == F.col("best.row")) & F.col("id").eqNullSafe(F.col("best.id")))
+    gone = materialize(found.where(~chosen).select("id", "row").distinct(), "jaccard-gone")
+    twice = found.where(chosen & F.col("best").isNotNull()).groupBy("id", "row").count().where("count > 1").select("id", "row")
+    twice = materialize(twice, "jaccard-twice")
+    # Whole rows travel as one struct, so none of their columns can clash with these.
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("_row"))
+
+    def among(table: DataFrame):
+        return F.col("_id").eqNullSafe(table.id) & (F.col("_row") == table.row)
+
+    left = rows.join(gone, among(gone), "left_anti")
+    once = left.join(twice, among(twice), "left_anti").select("_doc")
+    again = left.join(twice, among(twice), "left_semi").groupBy("_id", "_row").agg(F.min_by("_doc", F.to_json("_doc")).alias("_doc")).select("_doc")
+    return once.unionByName(again).select("_doc.*")

@@ -104,7 +104,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per input row: id, size, source_size, target, taken (words, repeats counted).
 
     Null texts have size 0; a null source is a source of its own; rows equal in id
-    and text share a hash and are taken alike. An empty table gives no rows.
+    and text share a hash and are taken alike. An empty table gives no rows; a very
+    long text is counted whole and taken or left whole; other columns are not read.
     """
     slim, plan = _planned(docs, id_col, text_col, source_col, cap)
     p = plan.withColumnRenamed("source", "_s")
@@ -115,9 +116,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: each document as often as it is taken, with the columns of ``docs``.
 
     Documents without a word add nothing to any source; they are taken by the same
-    hash threshold as all others.
+    hash threshold as all others. Nulls are as in :func:`mix`; extra columns may have
+    any names; an empty table gives no rows.
     """
     _, plan = _planned(docs, id_col, text_col, source_col, cap)
     p = plan.select(F.col("source").alias("_s"), "passes", "threshold")
-    rows = docs.withColumn("_hash", order_hash(id_col, text_col)).join(p, F.col(source_col).eqNullSafe(p._s))
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), _taken(plan).cast("int")))).select(*[docs[c] for c in docs.columns])
+    # Whole rows travel as one struct, so no column of docs can clash with the plan's.
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(source_col).alias("_source"), order_hash(id_col, text_col).alias("_hash")).join(p, F.col("_source").eqNullSafe(F.col("_s")))
+    return rows.select("_doc", F.explode(F.array_repeat(F.lit(1), _taken(plan).cast("int")))).select("_doc.*")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import byte_chunks
+from .words import text_chunks
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, index in KINDS, end
@@ -34,6 +34,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 
+def _octet(digits: str) -> bool:
+    value = digits.lstrip("0")  # the rest may be too long for int()
+    return len(value) < 3 or (len(value) == 3 and value <= "255")
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -59,7 +64,7 @@ def detect(text: str) -> list[Span]:
     """The base spans of a text by start, then kind."""
     out = list(_emails(text)) if "@" in text else []
     if _DIGIT.search(text):
-        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(_octet(p) for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12 and 12 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and _luhn(d):
                 out.append((m.start(), 2, m.end()))
@@ -98,11 +103,14 @@ _SPELLED_WORD = re.compile(rf"(?<!\w)({_WORDS})(?!\w)", re.I)
 #: A longest run of number words and digits. _SPELLED can only match at a run's start: later starts
 #: have the same end and fewer words. Possessive, so that runs without a match stay linear.
 _RUN = re.compile(rf"(?<!\w)(?:(?:plus|{_WORDS}|[0-9]+)[ ,.-]{{1,2}}){{6,}}+", re.I)
-_AT_BRACKET = re.compile(r"\s*(?:[\[({<]\s*(?:at|@|arobase|arroba)\s*[\])}>]|&#0*64;|&#x0*40;|%40)\s*", re.I)
-_DOT_BRACKET = re.compile(r"\s*(?:[\[({<]\s*(?:dot|\.|point|punkt|punto)\s*[\])}>]|&#0*46;|&#x0*2e;)\s*", re.I)
+#: Blanks before a bracket are taken back from its left end: a pattern that began with them would be quadratic.
+_AT_BRACKET = re.compile(r"(?:[\[({<]\s*+(?:at|@|arobase|arroba)\s*+[\])}>]|&#0*+64;|&#x0*+40;|%40)\s*+", re.I)
+_DOT_BRACKET = re.compile(r"(?:[\[({<]\s*+(?:dot|\.|point|punkt|punto)\s*+[\])}>]|&#0*+46;|&#x0*+2e;)\s*+", re.I)
 #: The bare words stand for signs only where both occur, as in "jo at site dot org".
-_AT_DOT_WORDS = re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\.|\s+dot\s+)[A-Za-z0-9_%+-]+)*\s+at\s+(?!(?:the|a|an|this|that|each|every|one|my|your|our|its|his|her|their)\s)[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)+(?!\w)", re.I)
-_AT_WORD, _DOT_WORD = re.compile(r"\s+at\s+", re.I), re.compile(r"\s+dot\s+", re.I)
+_AT_DOT_WORDS = re.compile(r"(?<=[A-Za-z0-9_%+-])\s++at\s++(?!(?:the|a|an|this|that|each|every|one|my|your|our|its|his|her|their)\s)[A-Za-z0-9-]++(?:\s++dot\s++[A-Za-z0-9-]+)+(?!\w)", re.I)
+_AT_WORD, _DOT_WORD = re.compile(r"(?<!\s)\s++at\s++", re.I), re.compile(r"(?<!\s)\s++dot\s++", re.I)
+_DOMAIN_WORDS = re.compile(r"@[A-Za-z0-9-]++(?:\s++dot\s++[A-Za-z0-9-]++)+", re.I)
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 _SPACED = re.compile(r"(?<=[A-Za-z0-9]) ?@ ?(?=[A-Za-z0-9])")
 
 
@@ -149,6 +157,57 @@ def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _signs(text: str, pattern: re.Pattern, sign: str) -> list[tuple[int, int, str]]:
+    """Edits that put ``sign`` for each match and the blanks before it."""
+    edits, floor = [], 0
+    for m in pattern.finditer(text):
+        a = m.start()
+        while a > floor and text[a - 1].isspace():
+            a -= 1
+        edits.append((a, m.end(), sign))
+        floor = m.end()
+    return edits
+
+
+def _name_start(text: str, end: int, floor: int) -> int:
+    """Where the dotted name that ends at ``end`` begins ("jo dot smith"), or ``end`` if it is none."""
+    start = at = end
+    while True:
+        a = at
+        while a > floor and text[a - 1] in _NAME:
+            a -= 1
+        if a == at:
+            return start
+        before = text[a - 1] if a else ""
+        if not before or not (before.isalnum() or before in "_.%+-"):
+            start = a
+        if before == "." and a - 1 > floor:
+            at = a - 1
+            continue
+        b = a
+        while b > floor and text[b - 1].isspace():
+            b -= 1
+        c = b - 3
+        if b == a or c <= floor or text[c:b].lower() != "dot" or not text[c - 1].isspace():
+            return start
+        while c > floor and text[c - 1].isspace():
+            c -= 1
+        at = c
+
+
+def _word_signs(text: str) -> list[tuple[int, int, str]]:
+    """Edits for "jo dot smith at site dot org"; linear, as a name is walked only where the rest matches."""
+    edits, floor = [], 0
+    for m in _AT_DOT_WORDS.finditer(text):
+        a = _name_start(text, m.start(), floor)
+        if a < m.start():
+            at = _AT_WORD.match(text, m.start())
+            left = [(w.start(), w.end(), ".") for w in _DOT_WORD.finditer(text, a, m.start())]
+            edits += [*left, (m.start(), at.end(), "@"), *((w.start(), w.end(), ".") for w in _DOT_WORD.finditer(text, at.end(), m.end()))]
+            floor = m.end()
+    return edits
+
+
 def _may_have_lookalikes(text: str) -> bool:
     try:  # far faster than a search, and true of most European text
         text.encode("latin-1")
@@ -166,13 +225,12 @@ def deobfuscate(text: str) -> Mapped | None:
     low = m.text.lower()
     m = m.rewrite(_spelled_edits(m.text))
     if "&#" in low or "%40" in low or "[" in low or "(" in low or "{" in low or "<" in low:
-        for pattern, sign in ((_AT_BRACKET, "@"), (_DOT_BRACKET, ".")):
-            m = m.rewrite([(x.start(), x.end(), sign) for x in pattern.finditer(m.text)])
-    if " dot " in low or "\tdot" in low or "\ndot" in low or "dot\n" in low:
-        edits = [(w.start() + x.start(), w.end() + x.start(), sign) for x in _AT_DOT_WORDS.finditer(m.text) for pattern, sign in ((_AT_WORD, "@"), (_DOT_WORD, ".")) for w in pattern.finditer(x[0])]
-        m = m.rewrite(sorted(edits))
+        m = m.rewrite(_signs(m.text, _AT_BRACKET, "@"))
+        m = m.rewrite(_signs(m.text, _DOT_BRACKET, "."))
+    if "dot" in low:
+        m = m.rewrite(_word_signs(m.text))
         if "@" in m.text:  # "jo[at]site dot org"
-            m = m.rewrite([(x.start() + w.start(), x.start() + w.end(), ".") for x in re.finditer(r"@[A-Za-z0-9-]+(?:\s+dot\s+[A-Za-z0-9-]+)+", m.text, re.I) for w in _DOT_WORD.finditer(x[0])])
+            m = m.rewrite([(w.start(), w.end(), ".") for x in _DOMAIN_WORDS.finditer(m.text) for w in _DOT_WORD.finditer(m.text, x.start(), x.end())])
     if " @" in m.text or "@ " in m.text:
         m = m.rewrite([(x.start(), x.end(), "@") for x in _SPACED.finditer(m.text) if x.end() - x.start() > 1])
     return m if m.text != text else None
@@ -217,16 +275,17 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per input row: id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added.
 
     ``spans`` holds base and added spans. A null text counts as empty: counts 0,
-    the digest of "", no spans. Repeated rows stay repeated.
+    the digest of "", no spans. Repeated rows stay repeated and a null id stays
+    null; an empty table gives no rows; texts are searched whole, in time linear in
+    their length; other columns, whatever their names, are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i, j in byte_chunks([len(t or "") for t in texts]):
-                found = [find(t or "") for t in texts[i:j]]
+            for i, j, raw in text_chunks(batch.column(1)):
+                found = [find(t.decode()) for t in raw]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, j - i),
                     *(pa.array([sum(s[1] == k for s in base) for base, _ in found], pa.int64()) for k in range(4)),
@@ -241,13 +300,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data masked; ``length_col``, where present, is the new length.
 
-    Null texts stay null; all other columns and repeated rows stay as they are.
+    Null and empty texts stay as they are, and so do all other columns, whatever
+    their names, and repeated rows; an empty table gives no rows.
     """
     at = docs.columns.index(text_col)
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in byte_chunks([len(t or "") for t in batch.column(at).to_pylist()]):
+            for i, j, _ in text_chunks(batch.column(at)):
                 part = batch.slice(i, j - i)
                 columns = list(part.columns)
                 columns[at] = pa.array([None if t is None else redact(t) for t in part.column(at).to_pylist()], pa.string())

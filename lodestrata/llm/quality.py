@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .words import _LOWER, byte_chunks
+from .words import _LOWER, byte_chunks, text_chunks
 
 _LEX, _BINS, _BIN_KINDS = 2048, 16, 5
 #: Character classes: space, line break, lower, upper, digit, stop, other mark, non-ASCII.
@@ -97,7 +98,11 @@ class Model:
             return np.full(len(x), self.prior)
         sims = _unit(_normalise(x, self.idf) @ self.projection) @ self.vectors.T
         k = self.neighbours
-        top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        # The k nearest; of those as near as the last one, the first in the sample's order.
+        last = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
+        near, level = sims > last, sims == last
+        level &= np.cumsum(level, 1) <= k - near.sum(1, keepdims=True)
+        top = np.nonzero(near | level)[1].reshape(len(sims), k)
         w = np.maximum(np.take_along_axis(sims, top, 1), 0).astype(np.float64) ** 4
         total = w.sum(1)
         return np.where(total > 0, (w * self.labels[top]).sum(1) / np.maximum(total, 1e-300), self.prior).clip(0, 1)
@@ -105,7 +110,7 @@ class Model:
 
 def held_out(id_col: str):
     """Rows kept from learning: crc32 of the id's text, modulo 5, is 0."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labelled: int = 4000, dims: int = 64, neighbours: int = 15) -> Model:
@@ -134,28 +139,51 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(x, y, dims, neighbours)
 
 
+def _scored(docs: DataFrame, model: Model, carried, text_col: str, threshold: float, only_good: bool) -> DataFrame:
+    """(row, score, predicted): ``carried`` is a column that goes along as it is."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(carried.alias("row"), F.col(text_col).alias("text"))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            for a, _, raw in text_chunks(batch.column(1)):
+                for i, j in byte_chunks([len(t) + 4000 for t in raw]):
+                    s = m.score(np.stack([features(t) for t in raw[i:j]]))
+                    out = pa.RecordBatch.from_arrays([batch.column(0).slice(a + i, j - i), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["row", "score", "predicted"])
+                    yield out.filter(pa.array(s >= threshold)) if only_good else out
+
+    schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    return rows.mapInArrow(apply, schema)
+
+
 def score_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``columns`` of docs, then score double and predicted int (score >= threshold).
 
     A null or empty text has no terms; it gets the share of label 1 in the
-    sample. Without any labelled row every score is 0.5.
+    sample. Without any labelled row every score is 0.5. Long texts are scored
+    whole; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep, n = list(columns), len(columns)
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", score double, predicted int"
+    found = _scored(docs, model, F.struct(*columns), text_col, threshold, False)
+    return found.select("row.*", "score", "predicted")
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
-            texts = batch.column(n).cast(pa.binary()).to_pylist()
-            for i, j in byte_chunks([len(t or b"") + 4000 for t in texts]):
-                s = m.score(np.stack([features(t or b"") for t in texts[i:j]]))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(n)), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=[*keep, "score", "predicted"])
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(apply, schema)
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is at least the threshold, with all their columns.
+
+    Nulls, repeats and empty tables as in :func:`score_documents`; extra columns may
+    have any names and types.
+    """
+    return _scored(docs, model, F.struct("*"), text_col, threshold, True).select("row.*")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
-    """id, held_out, score, predicted for every row of ``docs``; repeated rows stay repeated."""
+    """id, held_out, score, predicted for every row of ``docs``.
+
+    Repeated rows stay repeated and score alike; equally similar neighbours beyond
+    the last place are left out by their order in the sample, which is by id; a null
+    id was never learnt from and counts as held out. Other columns are not read. Votes
+    weigh the fourth power of the similarity.
+    """
     model = fit(docs, labels, id_col, text_col, **options)
     return score_documents(docs, model, text_col, threshold, (id_col,)).select(id_col, held_out(id_col).alias("held_out"), "score", "predicted")

@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE, _MULT = 0x9E3779B97F4A7C15, U(0xD1342543DE82EF95)
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 18  # small enough that every pass over a segment stays in the cache
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U), np.ones(1, U))
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -27,16 +29,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if len(_powers[0]) < n:
-        size = max(n, _SEGMENT + 1)
-        tables = []
-        for base in (_BASE, _INVERSE):
-            t = np.full(size, base, U)
-            t[0] = 1
-            tables.append(np.multiply.accumulate(t))
-        _powers = (tables[0], tables[1])
-    return _powers
+    """Powers below n; those of one segment (2 x 2 MB) are kept, longer ones are not."""
+    if n <= _SEGMENT + 1 and _powers:
+        return _powers[0]
+    tables = []
+    for base in (_BASE, _INVERSE):
+        t = np.full(max(n, _SEGMENT + 1), base, U)
+        t[0] = 1
+        tables.append(np.multiply.accumulate(t))
+    if n <= _SEGMENT + 1:
+        _powers.append((tables[0], tables[1]))
+    return tables[0], tables[1]
 
 
 def _segment_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +93,7 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return mix(out + U(k))
 
 
-def byte_chunks(sizes: list[int], budget: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def byte_chunks(sizes: list[int], budget: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs [i, j) of consecutive items of about ``budget`` bytes; a larger item is alone."""
     i, total = 0, 0
     for j, size in enumerate(sizes):
@@ -100,3 +103,10 @@ def byte_chunks(sizes: list[int], budget: int = 1 << 21) -> Iterator[tuple[int,
         total += size
     if i < len(sizes):
         yield i, len(sizes)
+
+
+def text_chunks(texts: pa.Array, budget: int = 1 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(i, j, texts i to j as bytes, nulls empty) of a column, by about ``budget`` bytes at a time."""
+    raw = texts.cast(pa.binary())
+    for i, j in byte_chunks(pc.fill_null(pc.binary_length(raw), 0).to_pylist(), budget):
+        yield i, j, [t or b"" for t in raw.slice(i, j - i).to_pylist()]
