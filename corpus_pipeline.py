@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), is written as Parquet below the shared
 folder, and is read again as the next one's ``docs``. All but the last return the
 columns of ``documents``.
+
+In every stage null and empty texts are defined (see each operator), texts are taken
+whole, repeated rows are judged alike, an empty table gives no rows, and extra columns
+go along whatever their names.
 """
 
 from __future__ import annotations
@@ -20,8 +24,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.3; labels come from sf_dir, texts to learn from docs."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.score_documents(docs, quality.fit(docs, labels), columns=tuple(docs.columns))
-    return scored.where("predicted = 1").select(docs.columns)
+    return quality.keep_good(docs, quality.fit(docs, labels))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
