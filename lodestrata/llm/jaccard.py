@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
-from math import comb
+from math import comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,6 @@ from ..session import discard, materialize, partitions
 from .keyset import collect_keys
 from .words import U, hash_words, mix, shingles, text_chunks
 
-_SPARE = 1  # parts beyond the differences allowed: a set with that many empty parts needs no list of them
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
 _BLOCK = 256
 _NULL_ID = (1 << 63) - 1
@@ -72,7 +71,7 @@ class Sizes:
         return sum(comb(n, c) for c in self.subset_sizes(n, self.partner(n) + 1))
 
     def heavy_cost(self, n: int) -> int:
-        return _LIST_COST * sum(m for _, m in self.windows(n))
+        return _LIST_COST * sum(m for _, m, _ in self.windows(n))
 
     def _boundary(self) -> int:
         n = 1
@@ -80,11 +79,14 @@ class Sizes:
             n += 1
         return n
 
-    def windows(self, n: int) -> list[tuple[int, int]]:
-        """(size window, its number of parts) that size n takes part in.
+    def windows(self, n: int) -> list[tuple[int, int, int]]:
+        """(size window, its number of parts, how many of them are spare) that size n takes part in.
 
         Bound k + 1 is the first size that cannot link with bound k, so partners are
-        in the same size class or the next; window k joins class k with both.
+        in the same size class or the next; window k joins class k with both. Parts
+        beyond the differences allowed are spare: a set with no more empty parts than
+        that needs no list of empty parts, which strangers share. There are so many
+        that few sets have more.
         """
         while self.bounds[-1] <= n:
             self.bounds.append(self.partner(self.bounds[-1]) + 1)
@@ -93,7 +95,10 @@ class Sizes:
         for w in (k, k - 1):
             if w >= 0:
                 a = (self.bounds[w + 1] if w + 1 < len(self.bounds) else self.partner(self.bounds[w]) + 1) - 1
-                out.append((w, self.slack(a + self.partner(a)) + 1 + _SPARE))
+                m = self.slack(a + self.partner(a)) + 1
+                empty = m * exp(-self.bounds[w] / m)
+                spare = 1 + int(empty + 3 * sqrt(empty))
+                out.append((w, m + spare, spare))
         return out
 
 
@@ -119,14 +124,14 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
             gone = weight[_dropped(n, c)].sum(1, dtype=U) if c < n else np.zeros(1, U)
             out.append(mix(mix(total - gone) + U(c)))
     if rule.partner(n) >= rule.light_below:
-        for w, m in rule.windows(n):
+        for w, m, spare in rule.windows(n):
             part = (s % U(m)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             at = part[order]
             first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
             sums = np.add.reduceat(weight[order], first)
             where = at[first]
-            if m - len(where) > _SPARE:
+            if m - len(where) > spare:
                 empty = np.setdiff1d(np.arange(m), where)
                 where, sums = np.concatenate((where, empty)), np.concatenate((sums, np.zeros(len(empty), U)))
             out.append(mix(sums + mix(where.astype(U) + U((w + 1) << 32))))
@@ -134,8 +139,8 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def odd_sketch(s: np.ndarray) -> np.ndarray:
-    """Parity bits of the set, about two a member; folding halves keeps it a sketch."""
-    bits = max(128, 1 << (2 * len(s) - 1).bit_length())
+    """Parity bits of the set, one or two a member; folding halves keeps it a sketch."""
+    bits = max(128, 1 << (len(s) - 1).bit_length())
     odd = np.bincount((mix(s) % U(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
 
@@ -191,23 +196,27 @@ def _forest(m: int, i: np.ndarray, j: np.ndarray, cost: np.ndarray) -> np.ndarra
 
 
 def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """Pairs (a, b), a < b, of class keys from (group, two, block, key, comp, n, sketch).
+    """Pairs (group, a, b), a < b, of class keys from (group, two, block, key, comp, n, sketch).
 
-    forest: a spanning forest of each group; else all pairs between components.
+    forest: pairs that with the components span each group; else all pairs between components.
     """
 
     def pairs_of(rows: dict) -> pa.RecordBatch | None:
         key, comp = rows["key"].to_numpy(), rows["comp"].to_numpy()
-        if len(key) < 2 or (not forest and (comp == comp[0]).all()):
+        if len(key) < 2 or (comp == comp[0]).all():
             return None
         n, block = rows["n"].to_numpy(), rows["block"].to_numpy()
         found = list(_candidates(n, block, rows["sketch"].to_pylist(), bool(rows["two"][0].as_py()), num, den))
         if not found:
             return None
         i, j, cost = (np.concatenate(x) for x in zip(*found, strict=True))
-        keep = _forest(len(key), i, j, cost) if forest else np.flatnonzero(comp[i] != comp[j])
+        keep = np.flatnonzero(comp[i] != comp[j])
+        if forest:
+            _, of = np.unique(comp, return_inverse=True)
+            keep = keep[_forest(len(key), of[i[keep]], of[j[keep]], cost[keep])]
         a, b = key[i[keep]], key[j[keep]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        group = np.full(len(keep), rows["group"][0].as_py(), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["group", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -227,7 +236,106 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
         return {c: part.column(c) for c in part.column_names}
 
     rows = members.repartition(partitions(members.sparkSession), "group").sortWithinPartitions("group", "n", "key")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "group long, a long, b long")
+
+
+def _held_twice(sets: DataFrame, per_flush: int = 1 << 20) -> DataFrame:
+    """sig: the signatures that two classes at least hold, from (key, sigs).
+
+    Signatures travel as sorted byte planes, bucket by bucket, each with 48 bits of its
+    class; of a signature's classes in one flush only the least and the greatest.
+    """
+    spark = sets.sparkSession
+    buckets = 4 * partitions(spark)
+
+    def ends(sig: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct signatures by value with their least and greatest tags."""
+        order = np.argsort(sig)
+        sig, tag = sig[order], tag[order]
+        first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        return sig[first], np.minimum.reduceat(tag, first), np.maximum.reduceat(tag, first)
+
+    def packed(sigs: list[np.ndarray], tags: list[np.ndarray]) -> pa.RecordBatch:
+        sig, low, high = ends(np.concatenate(sigs), np.concatenate(tags))
+        more = low != high
+        sig, tag = np.concatenate((sig, sig[more])), np.concatenate((low, high[more]))
+        order = np.argsort(sig)
+        sig, tag = sig[order], tag[order]
+        bucket = ((sig >> U(32)) * U(buckets)) >> U(32)
+        at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+        blobs = [sig[x:y].view(np.uint8).reshape(-1, 8).T.tobytes() + tag[x:y].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x, y in zip(at, at[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]].view(np.int64)), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sigs, tags, n = [], [], 0
+        for batch in batches:
+            of = mix(batch.column(0).to_numpy().view(U)) >> U(16)
+            sigs.append(batch.column(1).flatten().to_numpy().view(U).copy())
+            tags.append(np.repeat(of, np.diff(batch.column(1).offsets.to_numpy())))
+            n += len(sigs[-1])
+            if n >= per_flush:
+                yield packed(sigs, tags)
+                sigs, tags, n = [], [], 0
+        if n:
+            yield packed(sigs, tags)
+
+    def found(blobs: list[bytes]) -> pa.RecordBatch:
+        sigs, tags = [], []
+        for blob in blobs:
+            raw = np.frombuffer(blob, np.uint8)
+            n = len(raw) // 14
+            sigs.append(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(U).reshape(-1))
+            wide = np.zeros((n, 8), np.uint8)
+            wide[:, :6] = raw[8 * n :].reshape(n, 6)
+            tags.append(wide.view(U).reshape(-1))
+        sig, low, high = ends(np.concatenate(sigs), np.concatenate(tags))
+        return pa.RecordBatch.from_arrays([pa.array(sig[low != high].view(np.int64))], names=["sig"])
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blobs = None, []
+        for batch in batches:
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != now and blobs:
+                    yield found(blobs)
+                    blobs = []
+                now = bucket
+                blobs.append(blob)
+        if blobs:
+            yield found(blobs)
+
+    rows = sets.mapInArrow(send, "bucket long, blob binary").repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(receive, "sig long")
+
+
+def _labelled(facts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, n, sketch, comp) of each class; one that no link touches is its own component."""
+    return facts.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "sketch", F.coalesce("component", "key").alias("comp"))
+
+
+def _between(members: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The rows that :func:`_scan` reads, of groups with more than one component."""
+    comps = members.join(labelled.select("key", "comp"), "key").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    live = members.join(comps.where("x <> y").select("group"), "group", "left_semi")
+    return live.join(labelled, "key").select("group", "two", "block", "key", "comp", "n", "sketch")
+
+
+def _close(stars: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b), a < b: the pairs (key, least) whose sketches may be close enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m, x, y = (c.to_pylist() for c in batch.columns)
+            ok = []
+            for p, q, s, t in zip(n, m, x, y, strict=True):
+                words = min(len(s), len(t)) // 8
+                far = int(np.bitwise_count(_folded(s, words) ^ _folded(t, words)).sum())
+                ok.append(far <= (p + q) * (den - num) // (den + num))
+            a, b, ok = np.array(a, np.int64), np.array(b, np.int64), np.array(ok, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok])], names=["a", "b"])
+
+    left = facts.select("key", F.col("n").alias("n1"), F.col("sketch").alias("s1"))
+    right = facts.select(F.col("key").alias("least"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
+    return stars.join(left, "key").join(right, "least").select("key", "least", "n1", "n2", "s1", "s2").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -273,9 +381,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
                 ], names=["id", "row", "n", "key", "sketch", "sigs"])
 
     all_docs = materialize(rows.mapInArrow(describe, "id long, row long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
-    # Lists that hold two classes at least; a class's copies fall together before the shuffle.
-    lists = all_docs.select(F.explode("sigs").alias("sig"), "key").groupBy("sig").agg(F.min("key").alias("x"), F.max("key").alias("y")).where("x < y")
-    lists = materialize(lists.select("sig"), "jaccard-lists")
+    lists = materialize(_held_twice(all_docs.where("key is not null").select("key", "sigs")), "jaccard-lists")
     hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
     discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
 
@@ -292,9 +398,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     described, all_docs = all_docs, materialize(all_docs.drop("sigs"), "jaccard-classes")
     discard(described)
     # Lists with the same members are scanned once.
-    counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("key")).alias("h2")).where("size > 1")
-    kept = materialize(counted.groupBy("size", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "size"), "jaccard-kept")
+    counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("key")).alias("h2"), F.min("key").alias("least")).where("size > 1")
+    kept = materialize(counted.groupBy("size", "h1", "h2", "least").agg(F.min("sig").alias("sig")).select("sig", "size", "least"), "jaccard-kept")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("long")
+    stars = slim.join(kept, "sig").where("key <> least").groupBy("key", "least").agg(F.count(F.lit(1)).alias("shared"))
+    stars = stars.groupBy("key").agg(F.max(F.struct("shared", "least"))["least"].alias("least"))
+    stars = materialize(stars, "jaccard-stars")
     members = slim.join(kept, "sig").withColumn("nb", blocks).withColumn("block", F.pmod(F.xxhash64("key"), F.col("nb")))
     members = members.select("sig", "key", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("other"))
     group = F.xxhash64("sig", F.least("block", "other"), F.greatest("block", "other"))
@@ -306,8 +415,14 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     facts = all_docs.where("key is not null").groupBy("key").agg(F.min(F.coalesce("id", F.lit(_NULL_ID))).alias("rid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     facts = materialize(facts.join(listed, "key", "left_semi"), "jaccard-facts")
 
-    pairs = materialize(_scan(members.join(facts, "key").withColumn("comp", F.col("key")).select("group", "two", "block", "key", "comp", "n", "sketch"), num, den, True), "jaccard-forest")
-    # A spanning forest touches every class that has any pair to verify: their sets are enough for both rounds.
+    # Each class and the head with which it shares most lists: most families of near copies are found
+    # by these few pairs, and their lists need no scan.
+    near = materialize(_close(stars, facts, num, den), "jaccard-near")
+    guess = _labelled(facts, connected_components(near.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    guess = materialize(guess, "jaccard-guess")
+    forest = materialize(_scan(_between(members, guess), num, den, True), "jaccard-forest")
+    pairs = materialize(near.unionByName(forest.select("a", "b")).distinct(), "jaccard-pairs")
+    # These pairs touch every class that has any pair to verify: their sets are enough for both rounds.
     touched = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     touched = materialize(facts.select("key", "rid").join(touched, "key", "left_semi"), "jaccard-touched")
     mixed = F.pandas_udf(lambda s: s.__class__(mix(s.to_numpy().astype(np.int64).view(U)).view(np.int64)), "long")
@@ -328,8 +443,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     tested = materialize(_verified(pairs, sets, num, den), "jaccard-tested")
     links = tested.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     labels = materialize(connected_components(links), "jaccard-labels")
-    labelled = facts.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("component", "key")).select("key", "n", "sketch", "comp")
-    rest = _scan(members.join(labelled, "key").select("group", "two", "block", "key", "comp", "n", "sketch"), num, den, False)
+    labelled = materialize(_labelled(facts, labels), "jaccard-labelled")
+    # Where a pair of the forest fails, or a guessed family falls apart, all pairs between components are looked at.
+    broken = labelled.select("key", F.col("comp").alias("now")).join(guess.select("key", "comp"), "key").groupBy("comp").agg(F.min("now").alias("x"), F.max("now").alias("y")).where("x <> y").select("comp")
+    loose = members.join(guess.select("key", "comp").join(broken, "comp").select("key"), "key").select("group")
+    loose = loose.unionByName(forest.join(tested.where("not linked"), ["a", "b"]).select("group")).distinct()
+    rest = _scan(_between(members.join(loose, "group", "left_semi"), labelled), num, den, False).select("a", "b").distinct()
     rest = materialize(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-rest")
     more = materialize(_verified(rest, sets, num, den).where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")), "jaccard-more")
     if more.limit(1).count():
@@ -342,7 +461,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     named = smallest.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     roots = named.groupBy("component").agg(F.min("first").alias("best"))
     names = materialize(named.join(roots, "component").select("key", "best"), "jaccard-names")
-    for table in (members, facts, pairs, sets, tested, rest, more, labels):
+    for table in (stars, members, facts, near, guess, forest, pairs, sets, tested, labelled, rest, more, labels):
         discard(table)
     return all_docs.select("id", "row", "n", "key").join(names, "key", "left").select("id", "row", "n", "best")
 
