@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import discard, materialize
 from .keyset import KeySet, collect_keys
-from .words import U, byte_chunks, hash_words, mix
+from .words import U, hash_words, mix, text_chunks
 
 _BASE = U(0xC2B2AE3D27D4EB4F)
 _NULL_ID = (1 << 63) - 1
@@ -47,20 +47,20 @@ def runs_of(words: np.ndarray, width: int) -> np.ndarray:
     return mix(out ^ U(width))
 
 
-def chosen(edges: np.ndarray, span: int) -> np.ndarray:
-    """For each run of ``span`` consecutive edges, the place of the least (the first of equals)."""
-    view = np.lib.stride_tricks.sliding_window_view(edges, span)
-    out = np.empty(len(view), np.int64)
-    for a in range(0, len(view), 1 << 14):
-        out[a : a + (1 << 14)] = view[a : a + (1 << 14)].argmin(1)
-    return out + np.arange(len(view))
+def least_of(edges: np.ndarray, span: int) -> np.ndarray:
+    """The least of each run of ``span`` consecutive edges, by doubling: log2(span) passes."""
+    n, out, size = len(edges) - span + 1, edges, 1
+    while 2 * size <= span:
+        out = np.minimum(out[:-size], out[size:])
+        size *= 2
+    return np.minimum(out[:n], out[span - size : span - size + n])
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """(id, word hashes) of the rows of a batch; null ids count as the largest."""
-    ids, texts = batch.column(0).to_pylist(), [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-    for i, j in byte_chunks([len(t) for t in texts]):
-        words, at = hash_words(texts[i:j])
+    ids = batch.column(0).to_pylist()
+    for i, j, raw in text_chunks(batch.column(1)):
+        words, at = hash_words(raw)
         for row in range(i, j):
             yield (_NULL_ID if ids[row] is None else ids[row]), words[at[row - i] : at[row - i + 1]]
 
@@ -120,8 +120,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def edges_of(words: np.ndarray) -> np.ndarray:
         if len(words) < window:
             return np.zeros(0, U)
-        e = runs_of(words, k)
-        return e[np.unique(chosen(e, span))]
+        return least_of(runs_of(words, k), span)
 
     edges = _shared_by_documents(_emit(rows, edges_of), "substring-edges")
     known = spark.sparkContext.broadcast(collect_keys(edges, "h"))
@@ -133,7 +132,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if len(words) < window:
             return none
         e = runs_of(words, k)
-        starts = np.flatnonzero(edge_set.may_hold(e)[chosen(e, span)])
+        starts = np.flatnonzero(edge_set.may_hold(least_of(e, span)))
         if not len(starts):
             return none
         # First, middle and last k-mer of a window cover all of its words.
@@ -148,6 +147,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mine = _emit(rows, lambda w: windows_of(w, known.value, repeated.value)[1])
     removable = mine.join(windows, "h").where("id > first")
     removable = materialize(removable.groupBy(F.col("id").alias("_key")).agg(F.collect_list("h").alias("_gone")), "substring-removable")
+    repeated.unpersist()
+    discard(windows)
     mixed = F.pandas_udf(lambda s: s.__class__(mix(s.to_numpy().astype(np.int64).view(U)).view(np.int64)), "long")
     touched = spark.sparkContext.broadcast(collect_keys(removable.select(mixed("_key").alias("h")), "h"))
 
@@ -158,12 +159,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ids = batch.column(0).to_pylist()
             keys = np.array([_NULL_ID if i is None else i for i in ids], np.int64)
             maybe = hit.may_hold(mix(keys.view(U))).tolist()
-            words = [(t or b"").split() for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            plain = [b" ".join(w) for w in words]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(keys), pa.array([len(w) for w in words], pa.int64()),
-                pa.array([hashlib.sha256(p).hexdigest() for p in plain]), pa.array([p if keep_text or m else None for p, m in zip(plain, maybe, strict=True)], pa.binary()).cast(pa.string()),
-            ], names=["_id", "_key", "n_words", "_sha", "_plain"])
+            for i, j, raw in text_chunks(batch.column(1)):
+                words = [t.split() for t in raw]
+                plain = [b" ".join(w) for w in words]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, j - i), pa.array(keys[i:j]), pa.array([len(w) for w in words], pa.int64()),
+                    pa.array([hashlib.sha256(p).hexdigest() for p in plain]), pa.array([p if keep_text or m else None for p, m in zip(plain, maybe[i:j], strict=True)], pa.binary()).cast(pa.string()),
+                ], names=["_id", "_key", "n_words", "_sha", "_plain"])
 
     base = rows.mapInArrow(whole, "_id long, _key long, n_words long, _sha string, _plain string")
     joined = base.join(removable, "_key", "left").select("_id", "n_words", "_sha", "_plain", "_gone")
