@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_word, norm_words, scrub_control
 from ..session import materialize
-from .shingles import earlier_sayers
+from .shingles import earlier_sayers, hashed_runs
 
 SHINGLE, LINE_WORDS, COVERED_WORDS, VISIBLE_WORDS, SIGNATURE_LINES = 6, 4, 12, 3, 8
 
@@ -21,7 +21,6 @@ _FIELDS = "From|Von|De|Da|Van|Fra|Från|Sent|Gesendet|Date|Envoy[eé]e?|Enviad[o
 _FROM_FIELDS = ("from", "von", "de", "da", "van", "fra", "från")
 _VERBS = "wrote|schrieb|escribi[oó]|escreveu|skrev|ha scritto|a [eé]crit"
 _ORIGINALS = "Original Message|Ursprüngliche Nachricht|Message d'origine|Mensaje original|Messaggio originale|Oorspronkelijk bericht|Oprindelig meddelelse|Ursprungligt meddelande|Opprinnelig melding"
-# --- end of fixed values
 HEADER = rf"(?iu)^\s*({_FIELDS})\s*:\s+\S"
 ATTRIBUTION = rf"(?iu)^\s*(On|Le|El|Am|Op|Den|P[aå]|Il giorno)\b.*({_VERBS})\s*:?\s*$"
 TAIL = rf"(?iu)(?:{_VERBS}|writes)\s*:\s*$"
@@ -32,6 +31,7 @@ OTHERS = (
     r"(?iu)^\s*(?:[\[<(]\s*(?:sni+p+e?d?|cut|deleted|trimmed|\.\.\.)\s*[\]>)]|sni+p+e?d?!*)\s*$",
 )
 EMOTICON = r"[:;8][-^o']?[()\[\]DPpd/\\|]|\(-?[:;]|\^\^|<3"
+# --- end of fixed values
 
 
 def is_furniture(line: Column) -> Column:
@@ -56,8 +56,9 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
 
     # Words with their lines, and shingles over a message's words.
     words = messages.select(*keys, F.flatten(F.transform(F.split(scrub_control(F.coalesce(body, F.lit(""))), "\n", -1), lambda t, i: F.transform(norm_words(t), lambda w: F.struct(w.alias("word"), i.alias("line"))))).alias("_w"))
-    runs = F.transform("_w", lambda w, i: F.struct(w["word"].alias("word"), w["line"].alias("line"), F.when(i <= F.size("_w") - SHINGLE, F.array_join(F.transform(F.slice("_w", i + 1, SHINGLE), lambda x: x["word"]), " ")).alias("shingle")))
-    rows = words.select(*keys, F.posexplode(runs).alias("pos", "_r")).select(*keys, "pos", "_r.word", "_r.shingle", "_r.line")
+    words = words.withColumn("_n", F.transform("_w", lambda w: F.xxhash64(w["word"])))
+    words = words.withColumn("_r", F.arrays_zip("_w", hashed_runs(F.col("_n"), SHINGLE).alias("s")))
+    rows = words.select(*keys, F.posexplode_outer("_r").alias("pos", "_r")).where("pos is not null").select(*keys, "pos", F.col("_r._w.word").alias("word"), F.col("_r.s").alias("shingle"), F.col("_r._w.line").alias("line"))
     # Three results are read several times each; written once, they cut the plan into short ones.
     covered = materialize(earlier_sayers(rows, thread, message, SHINGLE), "fold-covered")
     per_line = covered.groupBy(*keys, "line").agg(F.count(F.lit(1)).alias("nw"), F.count("latest").alias("nc"))

@@ -89,11 +89,16 @@ def reset_checkpoint(state: DataFrame, current: DataFrame, folder: str = "folder
     return c.join(s, folder, "left").select(folder, F.when(F.col("_s") == F.col("_c"), F.col("last_uid")).otherwise(0).alias("last_uid"))
 
 
-def refresh_partition(target: DataFrame, new: DataFrame, month: str, source: str = "list") -> DataFrame:
-    """The target with the (month, source) part replaced; other sources stay, known ids are ignored."""
+def refresh_partition(target: DataFrame, new: DataFrame, month: str, source: str = "list", order: tuple[str, ...] = ()) -> DataFrame:
+    """The target with the (month, source) part replaced; other sources stay, known ids are ignored.
+
+    Of new rows that share an id the first in the order of ingest stays; without
+    ``order`` that is the order of all their columns, so reruns agree.
+    """
+    order = order or tuple(c for c, kind in new.dtypes if "map<" not in kind and c != "msgid")
     mine = F.coalesce((F.col("month") == month) & (F.col("source") == source), F.lit(False))
     rest = target.where(~mine)
-    return rest.unionByName(insert_or_ignore(rest, new, "msgid", ["msgid"]), allowMissingColumns=True)
+    return rest.unionByName(insert_or_ignore(rest, new, "msgid", list(order)), allowMissingColumns=True)
 
 
 def pending(rows: DataFrame, marker: str = "obfuscated") -> DataFrame:

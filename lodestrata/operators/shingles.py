@@ -5,55 +5,79 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def explode_words(texts: DataFrame, words: Column, keys: list[str]) -> DataFrame:
-    """(keys, pos, word), one row a word, positions from 0."""
-    return texts.select(*keys, F.posexplode(words).alias("pos", "word"))
+
+def hashed_runs(words: Column, size: int) -> Column:
+    """For each word, 128 bits (two longs) of the run of ``size`` words that begins there; null near the end.
+
+    Words are hashed once each; a run's hash is of its words' hashes, so no string is
+    built. ``words`` is to be a column, not an expression: it is read many times.
+    """
+    n = F.size(words)
+
+    def run(i: Column, seed: int) -> Column:
+        return F.xxhash64(F.lit(seed), *[F.get(words, i + j) for j in range(size)])
+
+    return F.transform(words, lambda w, i: F.when(i <= n - size, F.struct(run(i, 1).alias("a"), run(i, 2).alias("b"))))
 
 
 def with_shingles(texts: DataFrame, words: Column, keys: list[str], size: int, normal: Column | None = None) -> DataFrame:
-    """(keys, pos, word, shingle): the run of ``size`` words from each position; null near the end.
+    """(keys, pos, word, shingle): the run of ``size`` words from each position, as a hash; null near the end.
 
     Built inside the row's array, so no window over the words is needed.
     """
-    rows = texts.select(*keys, words.alias("_w")).withColumn("_n", F.transform("_w", F.lower) if normal is None else normal)
-    runs = F.transform("_w", lambda w, i: F.struct(w.alias("word"), F.when(i <= F.size("_n") - size, F.array_join(F.slice("_n", i + 1, size), " ")).alias("shingle")))
-    return rows.select(*keys, F.posexplode(runs).alias("pos", "_s")).select(*keys, "pos", "_s.word", "_s.shingle")
+    rows = texts.select(*keys, words.alias("_w")).withColumn("_n", F.transform("_w", lambda w: F.xxhash64(F.lower(w))) if normal is None else F.transform(normal, F.xxhash64))
+    rows = rows.withColumn("_s", F.arrays_zip("_w", hashed_runs(F.col("_n"), size).alias("s")))
+    # The outer form, as the plain one would first filter by the size of the array, built anew inside that filter.
+    return rows.select(*keys, F.posexplode_outer("_s").alias("pos", "_s")).where("pos is not null").select(*keys, "pos", F.col("_s._w").alias("word"), F.col("_s.s").alias("shingle"))
 
 
 def first_occurrence_dedup(texts: DataFrame, words: Column, order: list[str], size: int = 8) -> DataFrame:
     """(order, n_words, kept_words, kept): words that no repeated shingle covers.
 
-    A shingle is kept at its first place over the whole corpus, by ``order`` and
-    position; each later occurrence drops the words it covers. Minima are combined
-    before the shuffle, so a common shingle is no hot group.
+    A shingle is kept at its first place over the whole corpus, by ``order`` (which
+    tells rows apart) and position; each later occurrence drops the words it covers.
+    Rows are numbered in order, so a place is one long (38 bits of row, 25 of word) and
+    its minimum is combined before the shuffle: a common shingle is no hot group. Only
+    places of repeated shingles come back, by row number. A null array has no words.
     """
-    rows = with_shingles(texts, words, order, size)
-    place = F.struct(*order, "pos")
-    runs = rows.where("shingle is not null").select(F.xxhash64("shingle").alias("_h"), F.md5("shingle").alias("_m"), place.alias("_p"))
-    firsts = runs.groupBy("_h", "_m").agg(F.min("_p").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h", "_m", "_first")
-    later = runs.join(firsts, ["_h", "_m"]).where("_p > _first").groupBy(*[F.col(f"_p.{c}").alias(c) for c in order]).agg(F.collect_set("_p.pos").alias("_starts"))
-    kept = texts.select(*order, words.alias("_w")).join(later, order, "left")
-
-    ends = F.coalesce(F.array_sort("_starts"), F.array().cast("array<int>"))
-    marked = kept.withColumn("_e", ends)
-    covered = F.flatten(F.transform("_e", lambda p: F.sequence(p, p + size - 1)))
+    empty = F.array().cast("array<string>")
+    rows = texts.select(*order, F.coalesce(words, empty).alias("_w")).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = materialize(rows.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "dedup-rows")
+    counts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))  # one row a partition
+    rows = rows.join(before, "_p").select(*order, "_w", (F.col("_i") + F.col("_before")).alias("_row"))
+
+    hashes = rows.select("_row", F.transform("_w", lambda w: F.xxhash64(F.lower(w))).alias("_n"))
+    runs = hashes.select("_row", F.posexplode_outer(hashed_runs(F.col("_n"), size)).alias("_pos", "_h")).where("_h is not null")
+    runs = runs.select("_h.a", "_h.b", (F.shiftleft(F.col("_row"), 25) + F.col("_pos")).alias("_at"))
+    firsts = runs.groupBy("a", "b").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).where("_first < _last").drop("_last")
+    later = runs.join(firsts, ["a", "b"]).where("_at > _first")
+    later = later.groupBy(F.shiftright("_at", 25).alias("_row")).agg(F.collect_list((F.col("_at") % (1 << 25)).cast("int")).alias("_starts"))
+    kept = rows.join(later, "_row", "left")
+
+    covered = F.flatten(F.transform(F.coalesce("_starts", F.array().cast("array<int>")), lambda p: F.sequence(p, p + size - 1)))
     # The list of covered places is short beside the text; a set difference needs no per-word state.
     places = F.array_except(F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1)).otherwise(F.array().cast("array<int>")), covered)
-    marked = marked.withColumn("_k", places)
+    marked = kept.withColumn("_k", places)
     return marked.select(*order, F.size("_w").cast("long").alias("n_words"), F.size("_k").cast("long").alias("kept_words"), F.array_join(F.transform("_k", lambda i: F.element_at(F.col("_w"), i + 1)), " ").alias("kept"))
 
 
 def earlier_sayers(words: DataFrame, thread: str, message: str, size: int = 6) -> DataFrame:
     """(thread, message, pos, word, latest, first): the latest and the first earlier message of the thread that said a covering run.
 
-    ``words`` holds (thread, message, pos, word, shingle). A message is never its own source.
+    ``words`` holds (thread, message, pos, word, shingle). A message is never its own
+    source. A null thread has no earlier messages.
     """
-    says = words.where("shingle is not null").select(thread, "shingle", message).distinct()
-    w = Window.partitionBy(thread, "shingle").orderBy(message).rangeBetween(Window.unboundedPreceding, -1)
-    sayers = says.select(thread, "shingle", message, F.max(message).over(w).alias("_latest"), F.min(message).over(w).alias("_first"))
-    rows = words.join(sayers, [thread, "shingle", message], "left")
+    words = words.withColumn("_a", F.col("shingle.a")).withColumn("_b", F.col("shingle.b")).drop("shingle")
+    says = words.where("_a is not null").select(thread, "_a", "_b", message).distinct()
+    # Only runs that several messages of a thread say can have a source.
+    often = says.groupBy(thread, "_a", "_b").agg(F.min(message).alias("_first"), F.max(message).alias("_last")).where("_first < _last").drop("_last")
+    w = Window.partitionBy(thread, "_a", "_b").orderBy(message)
+    sayers = says.join(often, [thread, "_a", "_b"]).withColumn("_latest", F.lag(message).over(w)).where("_latest is not null")
+    rows = words.join(sayers, [thread, "_a", "_b", message], "left")
     # A word belongs to the first covering run that has a source.
     cover = Window.partitionBy(thread, message).orderBy("pos").rowsBetween(-(size - 1), 0)
     first_of = lambda c: F.first(c, ignorenulls=True).over(cover)
-    return rows.select(thread, message, "pos", "word", first_of("_latest").alias("latest"), first_of("_first").alias("first"), *[c for c in words.columns if c not in (thread, message, "pos", "word", "shingle")])
+    return rows.select(thread, message, "pos", "word", first_of("_latest").alias("latest"), first_of("_first").alias("first"), *[c for c in words.columns if c not in (thread, message, "pos", "word", "_a", "_b")])

@@ -206,10 +206,10 @@ _DEDUP = f"""w AS (SELECT doc_id, unnest({_WORDS}) AS word, generate_subscripts(
     k AS (SELECT doc_id, pos, word, max(dup) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS gone FROM r)"""
 
 
-@query(f"WITH {_DEDUP} SELECT doc_id, count(*) AS n_words, CAST(count(*) - sum(gone) AS BIGINT) AS kept_words FROM k GROUP BY 1")
+@query(f"WITH {_DEDUP}, c AS (SELECT doc_id, count(*) AS n_words, CAST(count(*) - sum(gone) AS BIGINT) AS kept_words FROM k GROUP BY 1) SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(kept_words, 0) AS kept_words FROM documents LEFT JOIN c USING (doc_id)")
 def shingle_dedup_counts(spark, d):
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    return shingles.first_occurrence_dedup(table(spark, d, "documents").where("text is not null"), words, ["doc_id"]).select("doc_id", "n_words", "kept_words")
+    return shingles.first_occurrence_dedup(table(spark, d, "documents"), words, ["doc_id"]).select("doc_id", "n_words", "kept_words")
 
 
 @query("SELECT conv_id * 1000 + turn AS id, row_number() OVER (ORDER BY conv_id * 1000 + turn DESC) AS rank FROM conversations WHERE contains(lower(coalesce(role, '') || ' ' || text), 'user') AND contains(lower(coalesce(role, '') || ' ' || text), 'the') ORDER BY conv_id * 1000 + turn DESC LIMIT 300")
@@ -278,11 +278,11 @@ _LIMB = ", ".join(f"sum(CAST(('0x' || substr(d, {57 - 8 * i}, 8)) AS HUGEINT)) A
 _FIELD = "'53' || lpad(printf('%x', strlen({0})), 16, '0') || hex({0})"
 
 
-@query(f"""WITH f AS (SELECT sha256(unhex({' || '.join(_FIELD.format(f'CAST({c} AS VARCHAR)') for c in ('n_nationkey', 'n_name', 'n_regionkey'))})) AS d FROM nation), s AS (SELECT {_LIMB} FROM f),
+@query(f"""WITH f AS (SELECT sha256(unhex({' || '.join(_FIELD.format(f'CAST({c} AS VARCHAR)') for c in ('l_orderkey', 'l_linenumber', 'l_returnflag', 'l_linestatus'))})) AS d FROM lineitem), s AS (SELECT {_LIMB} FROM f),
     t0 AS (SELECT *, l0 AS v0 FROM s), {', '.join(f't{i} AS (SELECT *, l{i} + v{i - 1} // 4294967296 AS v{i} FROM t{i - 1})' for i in range(1, 8))}
     SELECT {' || '.join(f"lpad(printf('%x', CAST(v{i} % 4294967296 AS BIGINT)), 8, '0')" for i in range(7, -1, -1))} AS fingerprint FROM t7""")
 def content_fingerprint(spark, d):
-    return fingerprint.content_fingerprint(table(spark, d, "nation"), ["n_nationkey", "n_name", "n_regionkey"])
+    return fingerprint.content_fingerprint(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
 
 
 @query()

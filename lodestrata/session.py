@@ -2,7 +2,7 @@
 
 Tables that cut lineage are written below the folder the cluster names in
 ``spark.checkpoint.dir``; every executor and the driver see it. Only where that
-setting is absent (tests, a laptop) is a folder chosen here.
+setting is absent on a local master (tests, a laptop) is a folder chosen here.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
