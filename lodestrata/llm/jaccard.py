@@ -139,8 +139,11 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def odd_sketch(s: np.ndarray) -> np.ndarray:
-    """Parity bits of the set, one or two a member; folding halves keeps it a sketch."""
-    bits = max(128, 1 << (len(s) - 1).bit_length())
+    """Parity bits of the set, two to four a member; folding halves keeps it a sketch.
+
+    With half as many bits, families of somewhat similar texts pass by the square of their size.
+    """
+    bits = max(128, 1 << (2 * len(s) - 1).bit_length())
     odd = np.bincount((mix(s) % U(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
 
@@ -239,7 +242,7 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     return rows.mapInArrow(run, "group long, a long, b long")
 
 
-def _held_twice(sets: DataFrame, per_flush: int = 1 << 20) -> DataFrame:
+def _held_twice(sets: DataFrame, per_flush: int = 1 << 19) -> DataFrame:
     """sig: the signatures that two classes at least hold, from (key, sigs).
 
     Signatures travel as sorted byte planes, bucket by bucket, each with 48 bits of its
