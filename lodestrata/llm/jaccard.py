@@ -15,8 +15,9 @@ when num/den <= |A & B| / |A | B|, that is when their difference has at most
 
 Lists are scanned in blocks. Inside a block an odd sketch of each set (its parity
 bits) bounds the difference from below, so no link is lost; a spanning forest of
-what passes is verified on the sets themselves, and then every pair that passes and
-still lies between two components.
+what passes is verified on the sets themselves. Where one of its pairs fails, longer
+sketches give another forest and then, where that has a pair that fails, every pair
+that passes and still lies between two components.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from math import comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
@@ -38,6 +39,7 @@ from .words import U, hash_words, mix, shingles, text_chunks
 
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
 _BLOCK = 256
+_SHARP = 8  # bits a member, at least, of the sketches of later scans
 _NULL_ID = (1 << 63) - 1
 
 
@@ -138,12 +140,12 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U)
 
 
-def odd_sketch(s: np.ndarray) -> np.ndarray:
-    """Parity bits of the set, two to four a member; folding halves keeps it a sketch.
+def odd_sketch(s: np.ndarray, least: int = 2) -> np.ndarray:
+    """Parity bits of the set, ``least`` to twice as many a member; folding halves keeps it a sketch.
 
     With half as many bits, families of somewhat similar texts pass by the square of their size.
     """
-    bits = max(128, 1 << (2 * len(s) - 1).bit_length())
+    bits = max(128, 1 << (least * len(s) - 1).bit_length())
     odd = np.bincount((mix(s) % U(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
 
@@ -342,17 +344,21 @@ def _close(stars: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, linked) by exact intersection of the sets."""
-    left = sets.select(F.col("key").alias("a"), F.col("members").alias("_x"), F.col("n").alias("_n"))
-    right = sets.select(F.col("key").alias("b"), F.col("members").alias("_y"), F.col("n").alias("_m"))
-    joined = pairs.join(left, "a").join(right, "b")
+    """(a, b, linked) of distinct pairs, a < b, by exact intersection of the sets."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("key")).join(sets.select("key", "members", "n"), "key")
+    both = ends.groupBy("a", "b").agg(F.collect_list("members").alias("_two"), F.sum("n").alias("_n"))
 
     @F.pandas_udf("long")
     def common(x, y):  # noqa: ANN001
         return x.__class__([len(np.intersect1d(np.frombuffer(p, U), np.frombuffer(q, U), assume_unique=True)) for p, q in zip(x, y, strict=True)], dtype="int64")
 
-    both = joined.withColumn("_i", common("_x", "_y"))
-    return both.select("a", "b", (F.col("_i") * (num + den) >= (F.col("_n") + F.col("_m")) * num).alias("linked"))
+    both = both.withColumn("_i", common(F.col("_two")[0], F.col("_two")[1]))
+    return both.select("a", "b", (F.col("_i") * (num + den) >= F.col("_n") * num).alias("linked"))
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files that nothing refers to; else they stay until the driver's heap is full."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -386,6 +392,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     all_docs = materialize(rows.mapInArrow(describe, "id long, row long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
     lists = materialize(_held_twice(all_docs.where("key is not null").select("key", "sigs")), "jaccard-lists")
     hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
+    _release(spark)
     discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
 
     def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,6 +420,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     members = materialize(members.select(group.alias("group"), (F.col("block") != F.col("other")).alias("two"), "block", "key"), "jaccard-members")
     discard(slim)
     discard(kept)
+    _release(spark)
     # In a group of two blocks, rows of both carry the same flag: the pair's, not the row's.
     listed = members.select("key").distinct()
     facts = all_docs.where("key is not null").groupBy("key").agg(F.min(F.coalesce("id", F.lit(_NULL_ID))).alias("rid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
@@ -437,26 +445,38 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
             rid = np.array([_NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)
             at = np.flatnonzero(wanted.value.may_hold(mix(rid.view(U))))
             for i, j, found in _sets(batch.column(1).take(pa.array(at)), width):
-                yield pa.RecordBatch.from_arrays([pa.array(rid[at[i:j]]), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rid", "key", "members"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rid[at[i:j]]), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()),
+                    pa.array([odd_sketch(s, _SHARP).tobytes() for s in found], pa.binary()),
+                ], names=["rid", "key", "members", "sharp"])
 
-    sets = rows.mapInArrow(read_sets, "rid long, key long, members binary").join(touched, ["rid", "key"])
-    sets = materialize(sets.groupBy("key").agg(F.first("members").alias("members")).withColumn("n", F.length("members") / F.lit(8)).withColumn("n", F.col("n").cast("long")), "jaccard-sets")
+    sets = rows.mapInArrow(read_sets, "rid long, key long, members binary, sharp binary").join(touched, ["rid", "key"])
+    sets = materialize(sets.groupBy("key").agg(F.first("members").alias("members"), F.first("sharp").alias("sharp")).withColumn("n", F.length("members") / F.lit(8)).withColumn("n", F.col("n").cast("long")), "jaccard-sets")
     wanted.unpersist()
     discard(touched)
+    _release(spark)
     tested = materialize(_verified(pairs, sets, num, den), "jaccard-tested")
     links = tested.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
     labels = materialize(connected_components(links), "jaccard-labels")
     labelled = materialize(_labelled(facts, labels), "jaccard-labelled")
-    # Where a pair of the forest fails, or a guessed family falls apart, all pairs between components are looked at.
+    # Where a pair of the forest fails, or a guessed family falls apart, longer sketches are scanned: for
+    # a forest between the components now known and, where one of its pairs fails, for all such pairs.
     broken = labelled.select("key", F.col("comp").alias("now")).join(guess.select("key", "comp"), "key").groupBy("comp").agg(F.min("now").alias("x"), F.max("now").alias("y")).where("x <> y").select("comp")
     loose = members.join(guess.select("key", "comp").join(broken, "comp").select("key"), "key").select("group")
     loose = loose.unionByName(forest.join(tested.where("not linked"), ["a", "b"]).select("group")).distinct()
-    rest = _scan(_between(members.join(loose, "group", "left_semi"), labelled), num, den, False).select("a", "b").distinct()
-    rest = materialize(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-rest")
-    more = materialize(_verified(rest, sets, num, den).where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst")), "jaccard-more")
-    if more.limit(1).count():
-        discard(labels)
-        labels = materialize(connected_components(links.unionByName(more)), "jaccard-labels")
+    spent, known = [], tested
+    for spanning in (True, False):
+        sharp = labelled.drop("sketch").join(sets.select("key", F.col("sharp").alias("sketch")), "key")
+        found = materialize(_scan(_between(members.join(loose, "group", "left_semi"), sharp), num, den, spanning), "jaccard-found")
+        fresh = found.select("a", "b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = materialize(_verified(fresh, sets, num, den), "jaccard-retested")
+        spent += [labels, labelled, found, fresh]
+        known = known.unionByName(fresh)
+        if fresh.where("linked").limit(1).count():
+            links = known.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+            labels = materialize(connected_components(links), "jaccard-labels")
+            labelled = materialize(_labelled(facts, labels), "jaccard-labelled")
+        loose = found.join(known.where("not linked"), ["a", "b"]).select("group").distinct()
 
     # Names of components: the smallest id over their classes, and the row that has it.
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
@@ -464,7 +484,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     named = smallest.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     roots = named.groupBy("component").agg(F.min("first").alias("best"))
     names = materialize(named.join(roots, "component").select("key", "best"), "jaccard-names")
-    for table in (stars, members, facts, near, guess, forest, pairs, sets, tested, labelled, rest, more, labels):
+    for table in (stars, members, facts, near, guess, forest, pairs, sets, tested, labelled, labels, *spent):
         discard(table)
     return all_docs.select("id", "row", "n", "key").join(names, "key", "left").select("id", "row", "n", "best")
 
