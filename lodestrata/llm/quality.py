@@ -60,11 +60,13 @@ def features(text: bytes) -> np.ndarray:
 
 
 def _normalise(x: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """IDF weights, then unit length by block of terms."""
-    x = x * idf
-    for a, b, w in _BLOCKS:
-        norm = np.linalg.norm(x[:, a:b], axis=1, keepdims=True)
-        x[:, a:b] *= w / np.maximum(norm, 1e-12)
+    """IDF weights, then unit length by block of terms; in place, some rows at a time."""
+    for i in range(0, len(x), 256):
+        part = x[i : i + 256]
+        part *= idf
+        for a, b, w in _BLOCKS:
+            norm = np.linalg.norm(part[:, a:b], axis=1, keepdims=True)
+            part[:, a:b] *= w / np.maximum(norm, 1e-12)
     return x
 
 
@@ -76,11 +78,12 @@ class Model:
     """IDF, projection, and the labelled vectors with their labels."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, dims: int, neighbours: int):
+        """``x``: term frequencies in single precision, overwritten here, as the driver has no room for copies."""
         n = len(x)
-        self.idf = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 1 if n else np.ones(WIDTH, np.float32)
+        self.idf = np.log((1 + n) / (1 + np.count_nonzero(x, axis=0))).astype(np.float32) + 1 if n else np.ones(WIDTH, np.float32)
         self.labels, self.neighbours = y.astype(np.float32), max(1, min(neighbours, n))
         self.prior = float(y.mean()) if n else 0.5
-        x = _normalise(x.astype(np.float32), self.idf)
+        x = _normalise(x, self.idf)
         dims = min(dims, max(1, n))
         # Randomised subspace iteration with a fixed seed: the same sample gives the same model.
         q = np.random.default_rng(7).standard_normal((WIDTH, min(WIDTH, dims + 16))).astype(np.float32)
@@ -96,7 +99,7 @@ class Model:
         """Share of label 1 among the nearest labelled vectors, weighted by similarity."""
         if not len(self.labels):
             return np.full(len(x), self.prior)
-        sims = _unit(_normalise(x, self.idf) @ self.projection) @ self.vectors.T
+        sims = _unit(_normalise(x.copy(), self.idf) @ self.projection) @ self.vectors.T
         k = self.neighbours
         # The k nearest; of those as near as the last one, the first in the sample's order.
         last = -np.partition(-sims, k - 1, axis=1)[:, k - 1 : k]
@@ -136,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x, y = np.zeros((len(rows), WIDTH), np.float32), np.array([1 if r.y > 0 else 0 for r in rows])
     for i, r in enumerate(rows):
         x[i, np.frombuffer(r.at, np.uint16)] = np.frombuffer(r.value, np.float32)
+    del rows
     return Model(x, y, dims, neighbours)
 
 
