@@ -240,7 +240,9 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
         part = table.slice(a, b - a)
         return {c: part.column(c) for c in part.column_names}
 
-    rows = members.repartition(partitions(members.sparkSession), "group").sortWithinPartitions("group", "n", "key")
+    # By a hash of the group: where a join has left rows dealt by the group itself, Spark drops this exchange and
+    # may then read the join's shuffle map by map, which would tear groups apart.
+    rows = members.repartition(partitions(members.sparkSession), F.xxhash64("group")).sortWithinPartitions("group", "n", "key")
     return rows.mapInArrow(run, "group long, a long, b long")
 
 

@@ -43,6 +43,17 @@ def test_lists_hold_exactly_what_two_classes_share(spark):
     assert sorted(got) == sorted(s for s, ks in holders.items() if len(ks) > 1)
 
 
+def test_scan_sees_whole_groups(spark, tmp_path):
+    """Rows that a join has dealt by group must not be torn apart by the planner on their way to the scan."""
+    spark.range(4000).selectExpr("id % 1000 as group", "false as two", "0L as block", "id as key").repartition(8).write.parquet(f"{tmp_path}/members")
+    sketch = F.lit(jaccard.odd_sketch(np.arange(60, dtype=np.uint64)).tobytes())
+    spark.range(4000).select(F.col("id").alias("key"), F.lit(60).cast("long").alias("n"), sketch.alias("sketch"), F.col("id").alias("comp")).write.parquet(f"{tmp_path}/labelled")
+    members, labelled = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("members", "labelled"))
+    found = jaccard._scan(jaccard._between(members, labelled), 80, 100, False)
+    assert found.distinct().count() == 6000
+    assert jaccard._scan(jaccard._between(members, labelled), 80, 100, True).count() == 3000
+
+
 @pytest.mark.parametrize("stage", ["quality", "near", "personal", "mixing"])
 def test_stages_take_any_extra_columns(spark, stage):
     text = "the old mill by the river and the people of the town number %d with some more words for every %d page"
