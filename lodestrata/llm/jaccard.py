@@ -15,9 +15,11 @@ when num/den <= |A & B| / |A | B|, that is when their difference has at most
 
 Lists are scanned in blocks. Inside a block an odd sketch of each set (its parity
 bits) bounds the difference from below, so no link is lost; a spanning forest of
-what passes is verified on the sets themselves. Where one of its pairs fails, longer
-sketches give another forest and then, where that has a pair that fails, every pair
-that passes and still lies between two components.
+what passes is verified on the sets themselves. A part of the lists is scanned first,
+as the lists of one family say much the same; then those of the rest that still hold
+several components. Where verification splits what the pairs had joined, longer
+sketches give another forest and then, where that is split too, every pair that
+passes and still lies between two components.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from .words import U, hash_words, mix, shingles, text_chunks
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
 _BLOCK = 256
 _SHARP = 8  # bits a member, at least, of the sketches of later scans
+_FIRST = 8  # one list in so many is scanned before the others
 _NULL_ID = (1 << 63) - 1
 
 
@@ -201,7 +204,7 @@ def _forest(m: int, i: np.ndarray, j: np.ndarray, cost: np.ndarray) -> np.ndarra
 
 
 def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """Pairs (group, a, b), a < b, of class keys from (group, two, block, key, comp, n, sketch).
+    """Pairs (a, b), a < b, of class keys from (group, two, block, key, comp, n, sketch).
 
     forest: pairs that with the components span each group; else all pairs between components.
     """
@@ -220,8 +223,7 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
             _, of = np.unique(comp, return_inverse=True)
             keep = keep[_forest(len(key), of[i[keep]], of[j[keep]], cost[keep])]
         a, b = key[i[keep]], key[j[keep]]
-        group = np.full(len(keep), rows["group"][0].as_py(), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["group", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -243,7 +245,7 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     # By a hash of the group: where a join has left rows dealt by the group itself, Spark drops this exchange and
     # may then read the join's shuffle map by map, which would tear groups apart.
     rows = members.repartition(partitions(members.sparkSession), F.xxhash64("group")).sortWithinPartitions("group", "n", "key")
-    return rows.mapInArrow(run, "group long, a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _held_twice(sets: DataFrame, per_flush: int = 1 << 19) -> DataFrame:
@@ -326,6 +328,22 @@ def _between(members: DataFrame, labelled: DataFrame) -> DataFrame:
     return live.join(labelled, "key").select("group", "two", "block", "key", "comp", "n", "sketch")
 
 
+def _joined(pairs: DataFrame) -> DataFrame:
+    """(node, component) over pairs (a, b)."""
+    return connected_components(pairs, "a", "b")
+
+
+def _split_groups(members: DataFrame, joined: DataFrame, labelled: DataFrame) -> DataFrame:
+    """group: those that hold two components of ``labelled`` in one component of ``joined``.
+
+    Where ``joined`` is over all pairs found, any link not yet known lies in such a group.
+    """
+    both = joined.withColumnRenamed("node", "key").join(labelled.select("key", "comp"), "key")
+    broken = both.groupBy("component").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("component")
+    inside = members.select("group", "key").join(both.join(broken, "component"), "key").groupBy("group", "component")
+    return inside.agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("group").distinct()
+
+
 def _close(stars: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b), a < b: the pairs (key, least) whose sketches may be close enough."""
 
@@ -381,10 +399,29 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     rows = rows.withColumn("_row", F.xxhash64("_id", "_text"))
     spark = docs.sparkSession
 
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(key, sigs) of each set."""
+        for batch in batches:
+            for _, _, found in _sets(batch.column(0), width):
+                found = [x for x in found if len(x)]
+                sigs = [signatures(x, num, den).view(np.int64) for x in found]
+                ends = np.cumsum([0, *map(len, sigs)])
+                flat = np.concatenate([np.zeros(0, np.int64), *sigs])
+                yield pa.RecordBatch.from_arrays([pa.array([_set_key(x) for x in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["key", "sigs"])
+
+    lists = materialize(_held_twice(rows.select("_text").mapInArrow(signed, "key long, sigs array<long>")), "jaccard-lists")
+    hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
+    _release(spark)
+    discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with those of its set's signatures that another class may hold.
+
+        All signatures are many times the text's shingles on disk; they are made again instead.
+        """
         for batch in batches:
             for i, j, found in _sets(batch.column(1), width):
-                sigs = [signatures(s, num, den).view(np.int64) for s in found]
+                sigs = [x[hot.value.may_hold(x)].view(np.int64) for x in (signatures(x, num, den) for x in found)]
                 ends = np.cumsum([0, *map(len, sigs)])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([len(s) for s in found], pa.int64()), pa.array([_set_key(s) if len(s) else None for s in found], pa.int64()),
@@ -392,25 +429,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
                 ], names=["id", "row", "n", "key", "sketch", "sigs"])
 
     all_docs = materialize(rows.mapInArrow(describe, "id long, row long, n long, key long, sketch binary, sigs array<long>"), "jaccard-docs")
-    lists = materialize(_held_twice(all_docs.where("key is not null").select("key", "sigs")), "jaccard-lists")
-    hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
-    _release(spark)
-    discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
-
-    def surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(sig, key) of signatures that may be in such a list."""
-        for batch in batches:
-            lengths = np.diff(batch.column(1).offsets.to_numpy())
-            sig = batch.column(1).flatten().to_numpy()
-            keep = hot.value.may_hold(sig.view(U))
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(np.repeat(batch.column(0).to_numpy(), lengths)[keep])], names=["sig", "key"])
-
-    slim = materialize(all_docs.where("key is not null").select("key", "sigs").mapInArrow(surviving, "sig long, key long").distinct(), "jaccard-postings")
     hot.unpersist()
+    slim = materialize(all_docs.where("key is not null").select("key", F.explode("sigs").alias("sig")).distinct(), "jaccard-postings")
     described, all_docs = all_docs, materialize(all_docs.drop("sigs"), "jaccard-classes")
     discard(described)
     # Lists with the same members are scanned once.
-    counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64("key")).alias("h2"), F.min("key").alias("least")).where("size > 1")
+    counted = slim.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("key")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("h2"), F.min("key").alias("least")).where("size > 1")
     kept = materialize(counted.groupBy("size", "h1", "h2", "least").agg(F.min("sig").alias("sig")).select("sig", "size", "least"), "jaccard-kept")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("long")
     stars = slim.join(kept, "sig").where("key <> least").groupBy("key", "least").agg(F.count(F.lit(1)).alias("shared"))
@@ -431,10 +455,13 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     # Each class and the head with which it shares most lists: most families of near copies are found
     # by these few pairs, and their lists need no scan.
     near = materialize(_close(stars, facts, num, den), "jaccard-near")
-    guess = _labelled(facts, connected_components(near.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    guess = materialize(guess, "jaccard-guess")
-    forest = materialize(_scan(_between(members, guess), num, den, True), "jaccard-forest")
-    pairs = materialize(near.unionByName(forest.select("a", "b")).distinct(), "jaccard-pairs")
+    pairs, spent = near, []
+    for chosen in (F.pmod("group", F.lit(_FIRST)) == 0, F.pmod("group", F.lit(_FIRST)) != 0):
+        guess = materialize(_labelled(facts, _joined(pairs)), "jaccard-guess")
+        forest = materialize(_scan(_between(members.where(chosen), guess), num, den, True), "jaccard-forest")
+        pairs = materialize(pairs.unionByName(forest).distinct(), "jaccard-pairs")
+        spent += [guess, forest, pairs]
+    joined = materialize(_joined(pairs), "jaccard-joined")
     # These pairs touch every class that has any pair to verify: their sets are enough for both rounds.
     touched = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     touched = materialize(facts.select("key", "rid").join(touched, "key", "left_semi"), "jaccard-touched")
@@ -458,27 +485,23 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     discard(touched)
     _release(spark)
     tested = materialize(_verified(pairs, sets, num, den), "jaccard-tested")
-    links = tested.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    labels = materialize(connected_components(links), "jaccard-labels")
+    labels = materialize(_joined(tested.where("linked")), "jaccard-labels")
     labelled = materialize(_labelled(facts, labels), "jaccard-labelled")
-    # Where a pair of the forest fails, or a guessed family falls apart, longer sketches are scanned: for
-    # a forest between the components now known and, where one of its pairs fails, for all such pairs.
-    broken = labelled.select("key", F.col("comp").alias("now")).join(guess.select("key", "comp"), "key").groupBy("comp").agg(F.min("now").alias("x"), F.max("now").alias("y")).where("x <> y").select("comp")
-    loose = members.join(guess.select("key", "comp").join(broken, "comp").select("key"), "key").select("group")
-    loose = loose.unionByName(forest.join(tested.where("not linked"), ["a", "b"]).select("group")).distinct()
-    spent, known = [], tested
+    # Where verification splits what the pairs join, longer sketches are scanned: for a forest between the
+    # components now known and, where it is split as well, for all pairs between them.
+    known = tested
     for spanning in (True, False):
+        loose = _split_groups(members, joined, labelled)
         sharp = labelled.drop("sketch").join(sets.select("key", F.col("sharp").alias("sketch")), "key")
-        found = materialize(_scan(_between(members.join(loose, "group", "left_semi"), sharp), num, den, spanning), "jaccard-found")
-        fresh = found.select("a", "b").distinct().join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = materialize(_verified(fresh, sets, num, den), "jaccard-retested")
-        spent += [labels, labelled, found, fresh]
+        found = materialize(_scan(_between(members.join(loose, "group", "left_semi"), sharp), num, den, spanning).distinct(), "jaccard-found")
+        fresh = materialize(_verified(found.join(known.select("a", "b"), ["a", "b"], "left_anti"), sets, num, den), "jaccard-retested")
+        spent += [joined, labels, labelled, found, fresh]
+        if spanning:
+            joined = materialize(_joined(known.where("linked").select("a", "b").unionByName(found)), "jaccard-joined")
         known = known.unionByName(fresh)
         if fresh.where("linked").limit(1).count():
-            links = known.where("linked").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-            labels = materialize(connected_components(links), "jaccard-labels")
+            labels = materialize(_joined(known.where("linked")), "jaccard-labels")
             labelled = materialize(_labelled(facts, labels), "jaccard-labelled")
-        loose = found.join(known.where("not linked"), ["a", "b"]).select("group").distinct()
 
     # Names of components: the smallest id over their classes, and the row that has it.
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
@@ -486,7 +509,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     named = smallest.join(labels.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     roots = named.groupBy("component").agg(F.min("first").alias("best"))
     names = materialize(named.join(roots, "component").select("key", "best"), "jaccard-names")
-    for table in (stars, members, facts, near, guess, forest, pairs, sets, tested, labelled, labels, *spent):
+    for table in (stars, members, facts, near, sets, tested, labelled, labels, *spent):
         discard(table)
     return all_docs.select("id", "row", "n", "key").join(names, "key", "left").select("id", "row", "n", "best")
 
