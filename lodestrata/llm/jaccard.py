@@ -24,7 +24,7 @@ passes and still lies between two components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 from math import comb, exp, sqrt
@@ -248,8 +248,10 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _held_twice(sets: DataFrame, per_flush: int = 1 << 19) -> DataFrame:
-    """sig: the signatures that two classes at least hold, from (key, sigs).
+def _held_twice(sets: DataFrame, per_flush: int = 1 << 19, read: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> DataFrame:
+    """sig: the signatures that two classes at least hold, from (key, sigs), which ``read`` makes of the rows.
+
+    ``read`` runs in the sending function: a function of its own would need a worker of its own.
 
     Signatures travel as sorted byte planes, bucket by bucket, each with 48 bits of its
     class; of a signature's classes in one flush only the least and the greatest.
@@ -277,7 +279,7 @@ def _held_twice(sets: DataFrame, per_flush: int = 1 << 19) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, tags, n = [], [], 0
-        for batch in batches:
+        for batch in read(batches):
             of = mix(batch.column(0).to_numpy().view(U)) >> U(16)
             sigs.append(batch.column(1).flatten().to_numpy().view(U).copy())
             tags.append(np.repeat(of, np.diff(batch.column(1).offsets.to_numpy())))
@@ -409,7 +411,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
                 flat = np.concatenate([np.zeros(0, np.int64), *sigs])
                 yield pa.RecordBatch.from_arrays([pa.array([_set_key(x) for x in found], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["key", "sigs"])
 
-    lists = materialize(_held_twice(rows.select("_text").mapInArrow(signed, "key long, sigs array<long>")), "jaccard-lists")
+    lists = materialize(_held_twice(rows.select("_text"), read=signed), "jaccard-lists")
     hot = spark.sparkContext.broadcast(collect_keys(lists, "sig"))
     _release(spark)
     discard(lists)  # each table goes as soon as nothing reads it: the rounds below need the disk
