@@ -81,6 +81,35 @@ def test_jaccard_empty_and_keep_one(spark):
     assert Counter(kept) == Counter([(1, a + " ", "y"), (7, None, "z"), (8, "", None)])
 
 
+def jobs_of(spark, group, act):
+    """The jobs that ``act`` runs and what it returns."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = act()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return spark.sparkContext.statusTracker().getJobIdsForGroup(group), out
+
+
+def test_keep_one_leaves_kept_texts_where_they_are(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join("%x" % rng.getrandbits(60) for _ in range(150))) for i in range(300)]
+    docs += [(1000 + i, docs[i][1]) for i in range(5)]
+    size = sum(len(t) for _, t in docs)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
+        jobs, got = jobs_of(spark, "kept-texts", lambda: sorted(r.doc_id for r in kept.select("doc_id", "text").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == list(range(300))
+    info, store = spark.sparkContext.statusTracker().getJobInfo, spark.sparkContext._jsc.sc().statusStore()
+    stages = {s for j in jobs for s in info(j).stageIds}
+    assert sum(store.lastStageAttempt(s).shuffleWriteBytes() for s in stages) < size / 3
+
+
 @pytest.mark.parametrize("num", [80, 90])
 def test_signatures_lose_no_link(num):
     rng = np.random.default_rng(num)

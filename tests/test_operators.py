@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -75,6 +76,15 @@ def test_components_of_long_chains_and_stars(spark):
     assert graph.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_in_one_task_as_in_rounds(spark):
+    rng = random.Random(7)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(350)] + [(i, i + 1) for i in range(1000, 1300)] + [(9000, 9000), (9001, None), (None, None)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    found = [{tuple(r) for r in graph.connected_components(df, at_once=k).collect()} for k in (0, 100, 10_000)]
+    assert found[0] == found[1] == found[2] and (9000, 9000) in found[0] and (1300, 1000) in found[0]
+    assert graph.connected_components(df.where("src > 10000"), at_once=10).count() == 0
+
+
 def test_first_occurrence_dedup(spark):
     texts = [(1, "a b c d e f g h i j"), (2, "x a b c d e f g h y"), (3, "short"), (4, "q q q q q q q q q q"), (5, "")]
     df = spark.createDataFrame(texts, "k int, t string").withColumn("w", F.when(F.col("t") == "", F.array().cast("array<string>")).otherwise(F.split("t", " ")))
