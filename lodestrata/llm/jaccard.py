@@ -13,7 +13,8 @@ when num/den <= |A & B| / |A | B|, that is when their difference has at most
   list of a third of all documents.
 * The boundary is where enumerating costs more than the lists.
 
-Lists are scanned in blocks. Inside a block an odd sketch of each set (its parity
+Lists are scanned in blocks; a block grows with the root of its list, so the rows that
+meet grow by a power of 1.5 of the list, not by its square. Inside a block an odd sketch of each set (its parity
 bits) bounds the difference from below, so no link is lost; a spanning forest of
 what passes is verified on the sets themselves. A part of the lists is scanned first,
 as the lists of one family say much the same; then those of the rest that still hold
@@ -41,7 +42,8 @@ from .keyset import collect_keys
 from .words import U, hash_words, mix, shingles, text_chunks
 
 _LIST_COST = 4  # scanning an inverted list costs so many emitted signatures
-_BLOCK = 256
+_BLOCK = 256  # the longest list that is one block
+_WAITING = 1 << 18  # pairs of a group that are held before they are thinned to a forest or sent
 _SHARP = 8  # bits a member, at least, of the sketches of later scans
 _FIRST = 8  # one list in so many is scanned before the others
 _AT_ONCE = 1 << 20  # pairs whose components one task finds (16 MB); more take rounds
@@ -211,21 +213,37 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     forest: pairs that with the components span each group; else all pairs between components.
     """
 
-    def pairs_of(rows: dict) -> pa.RecordBatch | None:
+    def pairs_of(rows: dict) -> Iterator[pa.RecordBatch]:
         key, comp = rows["key"].to_numpy(), rows["comp"].to_numpy()
         if len(key) < 2 or (comp == comp[0]).all():
-            return None
+            return
         n, block = rows["n"].to_numpy(), rows["block"].to_numpy()
-        found = list(_candidates(n, block, rows["sketch"].to_pylist(), bool(rows["two"][0].as_py()), num, den))
-        if not found:
-            return None
-        i, j, cost = (np.concatenate(x) for x in zip(*found, strict=True))
-        keep = np.flatnonzero(comp[i] != comp[j])
-        if forest:
-            _, of = np.unique(comp, return_inverse=True)
-            keep = keep[_forest(len(key), of[i[keep]], of[j[keep]], cost[keep])]
-        a, b = key[i[keep]], key[j[keep]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        _, of = np.unique(comp, return_inverse=True)
+
+        def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+            """A least spanning forest of what is held and of what comes later is one of all pairs."""
+            i, j, cost = (np.concatenate(x) for x in zip(*parts, strict=True))
+            keep = _forest(len(key), of[i], of[j], cost) if forest else slice(None)
+            return i[keep], j[keep], cost[keep]
+
+        def sent(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            i, j, _ = merged(parts)
+            a, b = key[i], key[j]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        parts, waiting = [], 0
+        for i, j, cost in _candidates(n, block, rows["sketch"].to_pylist(), bool(rows["two"][0].as_py()), num, den):
+            keep = of[i] != of[j]
+            parts.append((i[keep], j[keep], cost[keep]))
+            waiting += int(keep.sum())
+            if waiting >= _WAITING:
+                if forest:
+                    parts, waiting = [merged(parts)], 0
+                else:
+                    yield sent(parts)
+                    parts, waiting = [], 0
+        if parts:
+            yield sent(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -234,11 +252,10 @@ def _scan(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
             group = table.column("group").to_numpy()
             starts = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1)) if len(group) else np.zeros(0, int)
             for a, b in zip(starts, starts[1:], strict=False):
-                if (out := pairs_of(_columns(table, int(a), int(b)))) is not None:
-                    yield out
+                yield from pairs_of(_columns(table, int(a), int(b)))
             held = table.slice(int(starts[-1])).combine_chunks() if len(starts) else None
-        if held is not None and held.num_rows and (out := pairs_of(_columns(held, 0, held.num_rows))) is not None:
-            yield out
+        if held is not None and held.num_rows:
+            yield from pairs_of(_columns(held, 0, held.num_rows))
 
     def _columns(table: pa.Table, a: int, b: int) -> dict:
         part = table.slice(a, b - a)
@@ -340,11 +357,12 @@ def _labelled(facts: DataFrame, labels: DataFrame) -> DataFrame:
     return facts.select("key").join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("comp"))
 
 
-def _between(members: DataFrame, labelled: DataFrame, facts: DataFrame) -> DataFrame:
-    """The rows that :func:`_scan` reads, of groups with more than one component; n and sketch are those of ``facts``."""
-    comps = members.join(labelled, "key").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+def _between(members: DataFrame, labelled: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """The rows that :func:`_scan` reads, of groups with more than one component; n and sketch are those of ``facts``, else of ``labelled``."""
+    comps = members.join(labelled.select("key", "comp"), "key").groupBy("group").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
     live = members.join(comps.where("x <> y").select("group"), "group", "left_semi")
-    return live.join(labelled, "key").join(facts, "key").select("group", "two", "block", "key", "comp", "n", "sketch")
+    known = live.join(labelled, "key")
+    return (known if facts is None else known.join(facts, "key")).select("group", "two", "block", "key", "comp", "n", "sketch")
 
 
 def _joined(pairs: DataFrame) -> DataFrame:
@@ -457,7 +475,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     hot.unpersist()
     described, all_docs = all_docs, materialize(all_docs.drop("sigs"), "jaccard-classes")
     discard(described)
-    blocks = F.ceil(F.col("size") / _BLOCK).cast("long")
+    blocks = F.ceil(F.sqrt(F.col("size") / _BLOCK)).cast("long")
     stars = held.where("key <> least").groupBy("key", "least").agg(F.count(F.lit(1)).alias("shared"))
     stars = stars.groupBy("key").agg(F.max(F.struct("shared", "least"))["least"].alias("least"))
     stars = materialize(stars, "jaccard-stars")

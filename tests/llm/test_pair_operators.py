@@ -92,6 +92,49 @@ def jobs_of(spark, group, act):
     return spark.sparkContext.statusTracker().getJobIdsForGroup(group), out
 
 
+def test_jaccard_small_graphs_take_few_jobs(spark):
+    """Each job leaves plans and code with the driver; rounds for six small graphs were most of them."""
+    docs = corpus(3)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    jobs, got = jobs_of(spark, "few-jobs", lambda: rows(jaccard.jaccard_components(df)))
+    assert Counter(got) == components(docs)
+    assert len(jobs) < 160
+
+
+def test_jaccard_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_AT_ONCE", 2)
+    docs = corpus(4, 30)
+    assert Counter(rows(jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")))) == components(docs)
+
+
+def test_jaccard_blocks_grow_slower_than_lists(spark, monkeypatch):
+    counts, write = {}, jaccard.materialize
+
+    def counting(df, name):
+        out = write(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counting)
+    words = ["v%d" % i for i in range(120)]
+    docs = [(i, " ".join([*words[: i % 120], "u%d" % i, *words[i % 120 + 1 :]])) for i in range(800)]
+    got = rows(jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert len(got) == 800 and {r[2] for r in got} == {0}
+    assert counts["jaccard-members"] <= 2 * counts["jaccard-held"]
+
+
+@pytest.mark.parametrize("forest", [True, False])
+def test_jaccard_scan_thins_what_it_holds(spark, monkeypatch, forest):
+    rng = random.Random(9)
+    data = [(7, False, 0, k, k, 40, np.packbits(np.arange(128) % 40 == rng.randrange(40)).tobytes()) for k in range(60)]
+    members = spark.createDataFrame(data, "group long, two boolean, block long, key long, comp long, n long, sketch binary")
+    found = []
+    for held in (1 << 18, 50):
+        monkeypatch.setattr(jaccard, "_WAITING", held)
+        found.append(Counter(rows(jaccard._scan(members, 80, 100, forest))))
+    assert found[0] == found[1] and found[0].total() == (59 if forest else 60 * 59 // 2)
+
+
 def test_keep_one_leaves_kept_texts_where_they_are(spark):
     rng = random.Random(5)
     docs = [(i, " ".join("%x" % rng.getrandbits(60) for _ in range(150))) for i in range(300)]
