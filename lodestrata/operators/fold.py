@@ -1,18 +1,22 @@
 """Quote folding of a thread: line ranges that repeat what was said before.
 
-Everything is columns: coverage comes from windows over shingles, runs of foldable
+Everything is columns: coverage comes from runs in blocks (``runs``), runs of foldable
 lines from gaps and islands inside a message, labels from aggregates. The result is
 ranges of lines, not markup.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_word, norm_words, scrub_control
 from ..session import materialize
-from .shingles import earlier_sayers, hashed_runs
+from .shingles import earlier_sayers
 
 SHINGLE, LINE_WORDS, COVERED_WORDS, VISIBLE_WORDS, SIGNATURE_LINES = 6, 4, 12, 3, 8
 
@@ -44,6 +48,27 @@ def is_furniture(line: Column) -> Column:
     return out
 
 
+def _by_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (thread, message, latest, first, starts, words, word counts by line): covered words by line, and by line and run."""
+    for batch in batches:
+        starts, words, sizes = (batch.column(i) for i in (4, 5, 6))
+        counts, marks = [], []
+        for i in range(batch.num_rows):
+            s, w, nw = (c[i].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in (starts, words, sizes))
+            k = np.repeat(np.arange(len(s)), w)
+            # A run is the first to cover its last words.
+            pos = np.arange(len(k)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(s + SHINGLE - w, w)
+            line = np.searchsorted(np.cumsum(nw), pos, "right")
+            counts.append(np.bincount(line, minlength=len(nw)).astype(np.int32))
+            at = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (line[1:] != line[:-1])])
+            marks.append(np.stack([line[at], k[at], np.diff(np.r_[at, len(k)]), pos[at]]).astype(np.int32))
+        flat = np.concatenate(marks, axis=1) if marks else np.zeros((4, 0), np.int32)
+        of = pa.array(np.cumsum([0, *[m.shape[1] for m in marks]]).astype(np.int32))
+        entries = pa.StructArray.from_arrays([pa.array(c) for c in flat], names=["line", "k", "n", "pos"])
+        nc = pa.array(counts, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], nc, pa.ListArray.from_arrays(of, entries)], names=[*batch.schema.names[:4], "nc", "marks"])
+
+
 def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx", author: str = "author", body: str = "body") -> DataFrame:
     """(thread, message, line_from, line_to, source, kind): kind "q" (quoted) or "sig" (a repeated signature).
 
@@ -52,18 +77,24 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     no ranges.
     """
     keys = [thread, message]
-    texts = messages.select(*keys, F.posexplode(F.split(scrub_control(F.coalesce(body, F.lit(""))), "\n", -1)).alias("line", "text"))
+    body_text = scrub_control(F.coalesce(body, F.lit("")))
+    plain = F.regexp_replace(F.lower(body_text), r"[^\p{L}\p{N}\s]", "")
+    word_counts = F.transform(F.split(plain, "\n", -1), lambda t: F.size(F.array_remove(F.split(t, r"\s+"), "")))
 
-    # Words with their lines, and shingles over a message's words.
-    words = messages.select(*keys, F.flatten(F.transform(F.split(scrub_control(F.coalesce(body, F.lit(""))), "\n", -1), lambda t, i: F.transform(norm_words(t), lambda w: F.struct(w.alias("word"), i.alias("line"))))).alias("_w"))
-    words = words.withColumn("_n", F.transform("_w", lambda w: F.xxhash64(w["word"])))
-    words = words.withColumn("_r", F.arrays_zip("_w", hashed_runs(F.col("_n"), SHINGLE).alias("s")))
-    rows = words.select(*keys, F.posexplode_outer("_r").alias("pos", "_r")).where("pos is not null").select(*keys, "pos", F.col("_r._w.word").alias("word"), F.col("_r.s").alias("shingle"), F.col("_r._w.line").alias("line"))
+    # Words stay in their message's arrays: only runs with a source, and then counts by line, become rows.
     # Three results are read several times each; written once, they cut the plan into short ones.
-    covered = materialize(earlier_sayers(rows, thread, message, SHINGLE), "fold-covered")
-    per_line = covered.groupBy(*keys, "line").agg(F.count(F.lit(1)).alias("nw"), F.count("latest").alias("nc"))
-
-    lines = texts.join(per_line, [*keys, "line"], "left").fillna(0, ["nw", "nc"])
+    said = earlier_sayers(messages.select(*keys, plain.alias("_plain")), F.array_remove(F.split("_plain", r"\s+"), ""), thread, message, SHINGLE)
+    said = said.join(messages.select(*keys, word_counts.alias("_nw")), keys)
+    kinds = {c: said.schema[c].dataType.simpleString() for c in said.columns}
+    parts = [*keys, "latest", "first"]
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in parts) + ", nc array<int>, marks array<struct<line:int,k:int,n:int,pos:int>>"
+    covered = materialize(said.select(*parts, "starts", "words", "_nw").mapInArrow(_by_line, schema), "fold-covered")
+    of = lambda c: F.get(F.col(c), F.col("_m.k")).alias(c)
+    spans = covered.select(*parts, F.explode("marks").alias("_m")).select(*keys, "_m.line", "_m.n", "_m.pos", of("latest"), of("first"))
+
+    none = F.array().cast("array<int>")
+    texts = messages.select(*keys, F.split(body_text, "\n", -1).alias("text"), word_counts.alias("nw")).join(covered.select(*keys, "nc"), keys, "left")
+    lines = texts.select(*keys, F.posexplode(F.arrays_zip("text", "nw", F.coalesce("nc", none).alias("nc"))).alias("line", "_l")).select(*keys, "line", "_l.*").fillna(0, ["nw", "nc"])
     lines = lines.withColumn("blank", F.trim(F.regexp_replace("text", r"(?U)\s+", " ")) == "").withColumn("field", F.lower(F.regexp_extract("text", HEADER, 1)))
     in_order = Window.partitionBy(*keys).orderBy("line")
     # Header blocks: header lines with blanks between, of two fields at least, one of them a sender's.
@@ -79,7 +110,9 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     lines = lines.withColumn("attrib", F.col("text").rlike(ATTRIBUTION) | (F.col("text").rlike(TAIL) & (word_count <= 16)) | (F.col("header") & F.col("field").isin(*_FROM_FIELDS)))
     lines = lines.withColumn("run", F.sum((~F.col("safe")).cast("int")).over(in_order))
     last_text = F.max(F.when(~F.col("blank"), F.col("line"))).over(Window.partitionBy(*keys))
-    lines = materialize(lines.withColumn("_last", last_text), "fold-lines")
+    hay = F.when(F.col("attrib"), F.concat(F.lit(" "), F.array_join(norm_words(F.col("text")), " "), F.lit(" ")))
+    kept = [*keys, "line", "nw", "nc", "blank", "furn", "exact", "safe", "attrib", "run"]
+    lines = materialize(lines.select(*kept, last_text.alias("_last"), hay.alias("_hay")), "fold-lines")
 
     safe = lines.where("safe")
     plans = safe.groupBy(*keys, "run").agg(
@@ -98,7 +131,7 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     )
     authors = messages.select(F.col(thread).alias("_t"), F.col(message).alias("_m"), F.col(author).alias("_a"))
     of_run = lines.select(*keys, "line", "run", "safe").where("safe").drop("safe")
-    marked = covered.where("latest is not null").join(of_run, [*keys, "line"]).join(plans.select(*keys, "run", "att"), [*keys, "run"])
+    marked = spans.join(of_run, [*keys, "line"]).join(plans.select(*keys, "run", "att"), [*keys, "run"])
     own = authors.select(F.col("_t").alias(thread), F.col("_m").alias(message), F.col("_a").alias("_own"))
     introduced = marked.where("line < att").join(authors, (F.col(thread) == F.col("_t")) & (F.col("first") == F.col("_m"))).join(own, keys)
     mine = introduced.groupBy(*keys, "run").agg(F.min(F.col("_a").eqNullSafe(F.col("_own"))).alias("all_own"))
@@ -108,7 +141,7 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
     plans = materialize(plans, "fold-plans")
 
     # An attribution that names exactly one earlier author; the latest message of that name is meant.
-    spoken = lines.select(*keys, F.col("line").alias("att"), F.concat(F.lit(" "), F.array_join(norm_words(F.col("text")), " "), F.lit(" ")).alias("_hay"))
+    spoken = lines.select(*keys, F.col("line").alias("att"), "_hay")
     names = messages.select(F.col(thread).alias("_t"), F.col(message).alias("_m"), F.array_join(norm_words(F.col(author)), " ").alias("_name")).where("_name <> ''")
     called = plans.where("att is not null and may_name").select(*keys, "run", "att").join(spoken, [*keys, "att"])
     hits = called.join(names, (F.col(thread) == F.col("_t")) & (F.col("_m") < F.col(message)) & F.contains("_hay", F.concat(F.lit(" "), F.col("_name"), F.lit(" "))))
@@ -122,7 +155,7 @@ def fold_ranges(messages: DataFrame, thread: str = "thread", message: str = "idx
 
     # The dominant source; the first word met decides among equals. A signature's is who introduced it.
     sources = marked.join(ranges.select(*keys, "run", "line_from", "line_to", "kind"), [*keys, "run"]).where("line between line_from and line_to")
-    votes = sources.groupBy(*keys, "run", "kind", F.when(F.col("kind") == "sig", F.col("first")).otherwise(F.col("latest")).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.min("pos").alias("_p"))
+    votes = sources.groupBy(*keys, "run", "kind", F.when(F.col("kind") == "sig", F.col("first")).otherwise(F.col("latest")).alias("_s")).agg(F.sum("n").alias("_n"), F.min("pos").alias("_p"))
     best = votes.groupBy(*keys, "run", "kind").agg(F.max_by("_s", F.struct("_n", -F.col("_p"))).alias("_source"))
     ranges = ranges.join(best, [*keys, "run", "kind"], "left").withColumn("source", F.coalesce("named", "_source"))
 
